@@ -17,12 +17,14 @@ def parse(decoded, schema):
     A field of the wrong type is null and leaves its neighbours alone; text that is no JSON
     object gives nulls throughout. ``try_to_timestamp`` keeps one bad message from stopping
     a stream under ANSI mode.
+
+    The struct is expanded with ``inline`` rather than ``data.*``: a filter on a field would
+    be pushed below a plain projection and parse the text once more for every field it names.
+    Nothing prunes the schema for us then, so callers pass just the fields they use.
     """
-    return (
-        decoded.select("json", F.from_json("json", schema).alias("data"))
-        .select("json", "data.*")
-        .withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
-    )
+    return decoded.select(
+        "json", F.inline(F.array(F.from_json("json", schema)))
+    ).withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
 
 
 def is_reject(schema):

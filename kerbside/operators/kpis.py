@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from kerbside import schemas
+from kerbside.functions.parsing import decode, parse
 from kerbside.functions.rules import alert_level
 
 
@@ -41,6 +43,16 @@ def unify(traffic, pollution, watermark=None, per_feed=False):
     return merged
 
 
+def unify_messages(traffic, pollution, watermark=None, per_feed=False):
+    """``unify`` from raw messages, parsing no more than the KPIs need."""
+    return unify(
+        parse(decode(traffic), schemas.KPI_TRAFFIC),
+        parse(decode(pollution), schemas.KPI_POLLUTION),
+        watermark,
+        per_feed,
+    )
+
+
 def kpis(events, width="1 minute"):
     """One row per tumbling window and district; events without a time belong to none.
 

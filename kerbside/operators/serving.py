@@ -27,9 +27,11 @@ def upsert_batch(rows, batch_id, path, run_id=0):
         if count == 0:
             return
         order = [F.col("district"), F.col("window_end").desc()]
+        files = 1 + count // ROWS_PER_FILE
+        # Ranges are cut by time within a district too; a live batch fits one task as it is.
+        spread = rows.coalesce(1) if files == 1 else rows.repartitionByRange(files, *order)
         (
-            rows.repartitionByRange(1 + count // ROWS_PER_FILE, *order)
-            .sortWithinPartitions(*order)
+            spread.sortWithinPartitions(*order)
             .write.mode("overwrite")
             .partitionBy("district")
             .parquet(f"{path}/run_id={run_id}/batch_id={batch_id}")

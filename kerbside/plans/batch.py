@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from kerbside import schemas
-from kerbside.functions.parsing import decode, parse
 from kerbside.operators import kpis as kpi_ops
 from kerbside.operators import layers, training
 from kerbside.plans import feeds
@@ -13,17 +12,12 @@ def ntz(name):
     return F.col(name).cast("timestamp_ntz").alias(name)
 
 
-def parsed(events, feed):
-    """Typed rows of one feed, straight from its messages."""
-    return parse(decode(feeds.messages(events, feed)), schemas.PAYLOADS[feed])
-
-
 def silver(events, feed):
     return layers.to_silver(feeds.messages(events, feed), schemas.PAYLOADS[feed])
 
 
-def unified(events, watermark=None, per_feed=False):
-    return kpi_ops.unify(parsed(events, "traffic"), parsed(events, "pollution"), watermark, per_feed)
+def unified(events):
+    return kpi_ops.unify_messages(*[feeds.messages(events, feed) for feed in schemas.PAYLOADS])
 
 
 def kpi(events, width):

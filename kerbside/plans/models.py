@@ -66,15 +66,17 @@ def _serving_log(spark, sf_dir):
     """A serving table of two batches, the second correcting part of the first.
 
     The correction raises every measured mean by five; windows without a measurement are in
-    the first batch only. Both batches are written again at the end, as replays.
+    the first batch only, which is written once more at the end, as a replay.
     """
     path = workspace(spark, "serving")
-    first = scoring.score(batch.kpi(feeds.read_events(spark, sf_dir), "1 hour"), None)
+    kpi = scoring.score(batch.kpi(feeds.read_events(spark, sf_dir), "1 hour"), None)
+    kpi.drop("window").write.parquet(f"{path}/kpi")
+    first = spark.read.schema(streams.SCORED_WINDOWS).parquet(f"{path}/kpi")
     raised = first.where("has_pm25").withColumn("avg_pm25", F.col("avg_pm25") + 5)
     second = raised.withColumn("alert_level", alert_level(F.col("avg_pm25")))
-    for batch_id, rows in ((0, first), (1, second), (0, first), (1, second)):
-        serving.upsert_batch(rows, batch_id, path)
-    return serving.read_log(spark, path)
+    for batch_id, rows in ((0, first), (1, second), (0, first)):
+        serving.upsert_batch(rows, batch_id, f"{path}/table")
+    return serving.read_log(spark, f"{path}/table")
 
 
 def serving_latest(spark, sf_dir):

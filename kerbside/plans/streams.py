@@ -112,16 +112,17 @@ def history_sql(spark, sf_dir):
     )
 
 
-def _closed_windows(spark, kpi):
-    root = workspace(spark, "windows")
-    start_windows(kpi, f"{root}/rows", f"{root}/progress", ONCE).awaitTermination()
-    return kpi_columns(spark.read.schema(WINDOWS).parquet(f"{root}/rows"))
-
-
 WINDOWS = (
     "district string, avg_speed double, max_density int, avg_pm25 double, window_end timestamp, "
     "alert_level string, has_pm25 boolean, window_start timestamp"
 )
+SCORED_WINDOWS = f"{WINDOWS}, predicted_pm25 double"
+
+
+def _closed_windows(spark, kpi):
+    root = workspace(spark, "windows")
+    start_windows(kpi, f"{root}/rows", f"{root}/progress", ONCE).awaitTermination()
+    return kpi_columns(spark.read.schema(WINDOWS).parquet(f"{root}/rows"))
 
 
 def stream_kpis(spark, sf_dir, width, per_feed=False):

@@ -9,16 +9,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Window state off the heap, checkpointed as change logs.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    # Window state lives off heap and is checkpointed as change logs.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_SETTINGS,
 }
 
 
@@ -38,6 +41,14 @@ def use_utc(spark):
     return spark
 
 
+def use_state_settings(spark):
+    """For sessions built elsewhere: fill in what they leave open before a stateful start."""
+    chosen = spark.conf.getAll
+    for key, value in STATE_SETTINGS.items():
+        if key not in chosen:
+            spark.conf.set(key, value)
+
+
 def workspace(spark, label):
     """A fresh folder under the cluster's shared checkpoint folder.
 

@@ -6,25 +6,16 @@ The number of shuffle partitions is fixed by the checkpoint at the first start,
 
 from pyspark.sql import functions as F
 
-from kerbside import schemas
-from kerbside.functions.parsing import decode, parse
-from kerbside.operators.kpis import kpis, unify
+from kerbside.operators.kpis import kpis, unify_messages
 from kerbside.operators.scoring import LatestModel, score
 from kerbside.operators.serving import append_to_store, upsert_batch
+from kerbside.session import use_state_settings
 from kerbside.streaming.triggers import trigger
 
 
 def windows(traffic, pollution, width="1 minute", watermark="1 minute", per_feed=False):
     """KPI rows from two message streams. Each window comes out once, when it has closed."""
-    return kpis(
-        unify(
-            parse(decode(traffic), schemas.TRAFFIC),
-            parse(decode(pollution), schemas.POLLUTION),
-            watermark,
-            per_feed,
-        ),
-        width,
-    )
+    return kpis(unify_messages(traffic, pollution, watermark, per_feed), width)
 
 
 def table_sink(path, run_id=0):
@@ -42,6 +33,7 @@ def start_gold(kpi, sink, checkpoint, model_path=None, every="30 seconds", name=
     Windows are stored without a prediction while there is no model. A checkpoint is
     required: without it a restart would lose the open windows.
     """
+    use_state_settings(kpi.sparkSession)
     model = LatestModel(kpi.sparkSession, model_path) if model_path else None
 
     def handle(batch, batch_id):
@@ -60,6 +52,7 @@ def start_gold(kpi, sink, checkpoint, model_path=None, every="30 seconds", name=
 
 def start_windows(kpi, path, checkpoint, every="30 seconds"):
     """Closed windows, unscored, as an exactly-once Parquet dataset."""
+    use_state_settings(kpi.sparkSession)
     return (
         kpi.withColumn("window_start", F.col("window.start"))
         .drop("window")

@@ -1,0 +1,86 @@
+"""Windows, aggregates and alert rules on hand-written events."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import messages, pollution, traffic
+from kerbside.functions.rules import alert_level, alert_predicted
+from kerbside.operators.kpis import kpis, unify_messages
+
+
+def rows_of(spark, traffic_rows, pollution_rows, width="1 minute"):
+    events = unify_messages(messages(spark, traffic_rows), messages(spark, pollution_rows))
+    return {
+        (row.district, f"{row.window_end:%H:%M}"): row for row in kpis(events, width).collect()
+    }
+
+
+def test_aggregates_of_both_feeds(spark):
+    rows = rows_of(
+        spark,
+        [traffic(speed=40, count=5), traffic(speed=61, count=45), traffic(speed=None, count=None)],
+        [pollution(pm25=80), pollution(pm25=81)],
+    )
+    row = rows["Centre", "00:01"]
+    assert (row.avg_speed, row.max_density, row.avg_pm25) == (50.5, 45, 80.5)
+    assert (row.alert_level, row.has_pm25) == ("CRITIQUE", True)
+    assert f"{row.window.start:%H:%M}" == "00:00"
+
+
+def test_window_takes_its_start_and_not_its_end(spark):
+    rows = rows_of(spark, [traffic("00:00:59", speed=10), traffic("00:01:00", speed=20)], [])
+    assert rows["Centre", "00:01"].avg_speed == 10
+    assert rows["Centre", "00:02"].avg_speed == 20
+
+
+def test_one_feed_only(spark):
+    rows = rows_of(spark, [traffic(district="Nord")], [pollution(district="Sud")])
+    assert rows["Nord", "00:01"].avg_pm25 is None
+    assert rows["Nord", "00:01"].alert_level == "NORMAL"
+    assert rows["Nord", "00:01"].has_pm25 is False
+    assert rows["Sud", "00:01"].avg_speed is None
+    assert rows["Sud", "00:01"].max_density is None
+
+
+def test_null_time_is_in_no_window_and_null_district_a_group(spark):
+    rows = rows_of(
+        spark, [traffic(time=None, speed=99), traffic(district=None, speed=20), "not json"], []
+    )
+    assert list(rows) == [(None, "00:01")]
+    assert rows[None, "00:01"].avg_speed == 20
+
+
+def test_hour_windows(spark):
+    rows = rows_of(spark, [traffic("00:59:59"), traffic("01:00:00")], [], "1 hour")
+    assert sorted(rows) == [("Centre", "01:00"), ("Centre", "02:00")]
+
+
+@pytest.mark.parametrize(
+    "pm25, level",
+    [
+        (None, "NORMAL"),
+        (50.0, "NORMAL"),
+        (50.5, "WARNING"),
+        (80.0, "WARNING"),
+        (80.5, "CRITIQUE"),
+    ],
+)
+def test_alert_level(spark, pm25, level):
+    rows = spark.createDataFrame([(pm25,)], "v double")
+    assert rows.select(alert_level(F.col("v"))).first()[0] == level
+
+
+@pytest.mark.parametrize(
+    "pm25, density, level",
+    [
+        (None, 45, "NORMAL"),
+        (80.5, 41, "CRITIQUE"),
+        (80.5, 40, "WARNING"),
+        (80.5, None, "WARNING"),
+        (80.0, 45, "WARNING"),
+        (50.0, 45, "NORMAL"),
+    ],
+)
+def test_alert_predicted(spark, pm25, density, level):
+    rows = spark.createDataFrame([(pm25, density)], "v double, d int")
+    assert rows.select(alert_predicted(F.col("v"), F.col("d"))).first()[0] == level
