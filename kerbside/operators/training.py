@@ -59,11 +59,15 @@ def pollution_hours(pollution):
 
 
 def paired_hours(traffic, pollution):
-    """The inner join on (district, hour): one row per hour, ``pairs`` rows standing behind it."""
+    """The inner join on (district, hour): one row per hour, ``pairs`` rows standing behind it.
+
+    Pair counts grow with the square of the feeds and pass a 64-bit integer on large ones,
+    so they are doubles.
+    """
     return (
         traffic_hours(traffic)
         .join(pollution_hours(pollution), HOUR, "inner")
-        .withColumn("pairs", F.col("n_traffic") * F.col("n_pollution"))
+        .withColumn("pairs", F.col("n_traffic").cast("double") * F.col("n_pollution"))
     )
 
 
@@ -71,9 +75,14 @@ def pair_totals(hours, *keys):
     """Row count and column sums of the pairs behind ``hours``, per ``keys``."""
     return hours.groupBy(*keys).agg(
         F.sum("pairs").alias("pairs"),
-        F.sum(F.col("speed_sum") * F.col("n_pollution")).alias("speed_sum"),
-        F.sum(F.col("vehicle_sum") * F.col("n_pollution")).alias("vehicle_sum"),
-        F.sum(F.col("pm25_sum") * F.col("n_traffic")).alias("label_sum"),
+        *[
+            F.sum(F.col(total).cast("double") * F.col(partners)).alias(name)
+            for name, total, partners in (
+                ("speed_sum", "speed_sum", "n_pollution"),
+                ("vehicle_sum", "vehicle_sum", "n_pollution"),
+                ("label_sum", "pm25_sum", "n_traffic"),
+            )
+        ],
     )
 
 
@@ -103,7 +112,7 @@ def moment_rows(hours):
 
     steps = [(speed, shared, zero), (zero, vehicle, zero), (zero, zero, label)]
     rows = F.explode(F.array(*[row(sign, *step) for step in steps for sign in (1, -1)]))
-    return hours.select(F.col("pairs").cast("double").alias("weight"), rows.alias("r")).select(
+    return hours.select(F.col("pairs").alias("weight"), rows.alias("r")).select(
         "weight", "r.*"
     )
 

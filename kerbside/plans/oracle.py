@@ -189,10 +189,10 @@ def sql():
         "training_pairs": _with(
             FEEDS,
             PAIRS,
-            select="""SELECT district, count(*) AS pairs,
-                             CAST(sum(speed_kmh) AS BIGINT) AS speed_sum,
-                             CAST(sum(vehicle_count) AS BIGINT) AS vehicle_sum,
-                             CAST(sum(pm25) AS BIGINT) AS label_sum
+            select="""SELECT district, CAST(count(*) AS DOUBLE) AS pairs,
+                             CAST(sum(speed_kmh) AS DOUBLE) AS speed_sum,
+                             CAST(sum(vehicle_count) AS DOUBLE) AS vehicle_sum,
+                             CAST(sum(pm25) AS DOUBLE) AS label_sum
                       FROM pairs GROUP BY ALL""",
         ),
         "model_coefficients": _with(FEEDS, PAIRS, PAIR_LINE, select=LINE),

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as spark_entry
-from differential import compare
+from differential import compare, duck_rows, spark_rows
 
 
 def test_every_query_has_sql():
@@ -22,3 +22,24 @@ def test_matches_sql(spark, db, sf_dir, name):
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1]) > 0
     assert got[1] == want[1]
+
+
+@pytest.fixture
+def parted(spark, sf_dir, folder):
+    """The events as a folder of many files, as large tables are."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(6).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["kpi_1h", "kpi_stream_1h", "silver_traffic"])
+def test_table_of_many_files(spark, db, sf_dir, parted, name):
+    frame = spark_entry.queries()[name](spark, parted)
+    assert spark_rows(frame) == duck_rows(db, spark_entry.oracle_sql()[name])
+
+
+@pytest.mark.parametrize("name", ["kpi_1h", "kpi_stream_1h", "training_pairs"])
+def test_host_time_zone_does_not_matter(spark, db, sf_dir, name):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    got, want = compare(spark, db, sf_dir, name)
+    assert got == want
