@@ -1,4 +1,4 @@
-"""Command line entry points: ``spark-submit kerbside/jobs.py JOB ...``.
+"""Command line entry points: ``spark-submit run_job.py JOB ...``.
 
 Each job is one of the functions of this package with its sources and sinks attached.
 Streaming jobs run until one of their queries ends, or over what is there with ``--once``.
@@ -6,8 +6,11 @@ Streaming jobs run until one of their queries ends, or over what is there with `
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from kerbside import schemas, session
 from kerbside.operators import history, kpis, scoring, serving, training
+from kerbside.operators import layers as layer_ops
 from kerbside.sources.datasets import read_silver
 from kerbside.sources.topics import read_message_files, read_topic
 from kerbside.streaming import gold, layers
@@ -115,6 +118,19 @@ def query(spark, args):
     return rows
 
 
+def pack(spark, args):
+    for feed in FEEDS:
+        rows = read_silver(spark, f"{args.silver}/{feed}", feed)
+        if args.before:
+            rows = rows.where(F.col("event_time") < F.lit(args.before).cast("timestamp"))
+        packed = layer_ops.pack(rows, args.rows_per_file)
+        packed.write.partitionBy("district").parquet(f"{args.output}/{feed}")
+
+
+def fold(spark, args):
+    serving.fold(spark, args.serving, args.output, args.run_id)
+
+
 def _stream_arguments(parser, every):
     parser.add_argument("--source", default="kafka", help="kafka, or a file format")
     parser.add_argument("--servers", help="broker addresses")
@@ -176,6 +192,19 @@ def _parser():
     job.add_argument("--sql", required=True)
     job.add_argument("--rows", type=int, default=20, help="rows to print")
     job.set_defaults(run=query, streaming=False)
+
+    job = jobs.add_parser("pack", help="rewrite cleaned history into larger files")
+    job.add_argument("--silver", required=True)
+    job.add_argument("--output", required=True)
+    job.add_argument("--before", help="only events before this UTC day (yyyy-MM-dd)")
+    job.add_argument("--rows-per-file", type=int, default=5_000_000)
+    job.set_defaults(run=pack, streaming=False)
+
+    job = jobs.add_parser("fold", help="rewrite the serving table's current rows as one batch")
+    job.add_argument("--serving", required=True)
+    job.add_argument("--output", required=True)
+    job.add_argument("--run-id", type=int, default=0)
+    job.set_defaults(run=fold, streaming=False)
     return parser
 
 
@@ -188,7 +217,3 @@ def main(argv=None, spark=None):
     if args.streaming:
         wait(spark, *(result if args.once else []))
     return result
-
-
-if __name__ == "__main__":
-    main()

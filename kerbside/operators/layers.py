@@ -51,10 +51,12 @@ def with_day(silver):
     return silver.withColumn("event_date", F.to_date("event_time"))
 
 
-def pack(rows, files, *keys):
-    """Rewrite rows as ``files`` files of similar size, ordered by ``keys``.
+def pack(rows, rows_per_file=5_000_000):
+    """Silver rows in files of similar size, for history a stream wrote as many small ones.
 
     Ranges are cut by time within a district, so one busy district still spreads over many
-    tasks. For closed days written as many small files by a stream.
+    tasks.
     """
+    keys = ["district", "event_time"]
+    files = 1 + rows.count() // rows_per_file
     return rows.repartitionByRange(files, *keys).sortWithinPartitions(*keys)

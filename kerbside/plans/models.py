@@ -6,6 +6,7 @@ from kerbside.functions.rules import alert_level
 from kerbside.operators import scoring, serving, training
 from kerbside.plans import batch, feeds, streams
 from kerbside.session import workspace
+from kerbside.sources.datasets import read_silver
 from kerbside.streaming.gold import start_gold, table_sink
 from kerbside.streaming.triggers import ONCE
 
@@ -32,8 +33,11 @@ def _line(spark, model):
 
 
 def model_coefficients(spark, sf_dir):
+    """The training job: cleaned history as a stream wrote it, fitted, saved and loaded."""
+    paths = streams.run_silver(spark, sf_dir)
+    model = training.train_on_pairs(*[read_silver(spark, paths[f], f) for f in streams.FEEDS])
     path = workspace(spark, "model")
-    trained(spark, feeds.read_events(spark, sf_dir), path)
+    scoring.save(model, path)
     return _line(spark, scoring.LatestModel(spark, path).get())
 
 

@@ -86,6 +86,21 @@ def test_training_guard(spark, city, capsys):
     assert "No model" in capsys.readouterr().out
 
 
+def test_pack(spark, city):
+    argv = ["pack", "--silver", f"{city}/silver", "--output", f"{city}/packed"]
+    jobs.main([*argv, "--before", "2024-01-02"], spark)
+    packed = read_silver(spark, f"{city}/packed/traffic", "traffic")
+    stored = read_silver(spark, f"{city}/silver/traffic", "traffic")
+    assert packed.exceptAll(stored).isEmpty() and stored.exceptAll(packed).isEmpty()
+
+
+def test_fold(spark, city):
+    jobs.main(["fold", "--serving", f"{city}/serving", "--output", f"{city}/folded"], spark)
+    folded = serving.latest(serving.read_log(spark, f"{city}/folded"))
+    table = serving.latest(serving.read_log(spark, f"{city}/serving"))
+    assert folded.exceptAll(table).isEmpty() and table.exceptAll(folded).isEmpty()
+
+
 def test_topics_need_servers(spark, city):
     with pytest.raises(SystemExit):
         jobs.main(f"bronze --output {city}/x --checkpoint {city}/y".split(), spark)
