@@ -30,3 +30,16 @@ def parse(decoded, schema):
 def is_reject(schema):
     """True when not one payload field could be read."""
     return reduce(and_, [F.col(name).isNull() for name in schema.names])
+
+
+def observe_quality(rows, schema, name):
+    """Count all, unreadable and untimed messages on their way, at no extra pass.
+
+    A stream reports the counts of each micro-batch as ``observedMetrics`` under ``name``.
+    """
+    return rows.observe(
+        name,
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(is_reject(schema)).alias("rejected"),
+        F.count_if(F.col("event_time").isNull()).alias("untimed"),
+    )

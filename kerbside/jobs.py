@@ -82,6 +82,7 @@ def run_gold(spark, args):
         args.width,
         args.watermark,
         args.watermark_per_feed,
+        metrics="gold",
     )
     if args.store:
         sink = gold.store_sink(args.store, **_options(args.store_option))

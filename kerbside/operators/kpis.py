@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kerbside import schemas
-from kerbside.functions.parsing import decode, parse
+from kerbside.functions.parsing import decode, observe_quality, parse
 from kerbside.functions.rules import alert_level
 
 
@@ -43,14 +43,18 @@ def unify(traffic, pollution, watermark=None, per_feed=False):
     return merged
 
 
-def unify_messages(traffic, pollution, watermark=None, per_feed=False):
-    """``unify`` from raw messages, parsing no more than the KPIs need."""
-    return unify(
-        parse(decode(traffic), schemas.KPI_TRAFFIC),
-        parse(decode(pollution), schemas.KPI_POLLUTION),
-        watermark,
-        per_feed,
-    )
+def unify_messages(traffic, pollution, watermark=None, per_feed=False, metrics=None):
+    """``unify`` from raw messages, parsing no more than the KPIs need.
+
+    With ``metrics`` the quality counts of each feed are observed as ``<metrics>_<feed>``;
+    events without a time, which no window takes, are among them.
+    """
+    sides = []
+    for feed, messages in (("traffic", traffic), ("pollution", pollution)):
+        schema = schemas.KPI_PAYLOADS[feed]
+        rows = parse(decode(messages), schema)
+        sides.append(observe_quality(rows, schema, f"{metrics}_{feed}") if metrics else rows)
+    return unify(*sides, watermark, per_feed)
 
 
 def kpis(events, width="1 minute"):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbside.functions.parsing import decode, is_reject, parse
+from kerbside.functions.parsing import decode, is_reject, observe_quality, parse
 
 
 def to_bronze(messages):
@@ -18,17 +18,11 @@ def to_bronze(messages):
 def to_silver(messages, schema, metrics=None):
     """Typed events. Messages without one readable field are left to ``to_rejects``.
 
-    With ``metrics`` the counts of all, rejected and untimed messages are observed under
-    that name on the way, at no extra pass.
+    ``metrics`` names the quality counts to observe.
     """
     rows = parse(decode(messages), schema)
     if metrics:
-        rows = rows.observe(
-            metrics,
-            F.count(F.lit(1)).alias("messages"),
-            F.count_if(is_reject(schema)).alias("rejected"),
-            F.count_if(F.col("event_time").isNull()).alias("untimed"),
-        )
+        rows = observe_quality(rows, schema, metrics)
     return rows.where(~is_reject(schema)).drop("json", "timestamp")
 
 

@@ -6,11 +6,15 @@ nothing. ``run_id`` goes up by one whenever a job starts on a new checkpoint, as
 numbers then begin at zero again.
 """
 
+import logging
+
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from kerbside import schemas
 
+log = logging.getLogger(__name__)
+
 ROWS_PER_FILE = 1_000_000
 
 
@@ -24,6 +28,7 @@ def upsert_batch(rows, batch_id, path, run_id=0):
     rows = serving_rows(rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         count = rows.count()
+        log.info("batch %s: %s rows", batch_id, count)
         if count == 0:
             return
         order = [F.col("district"), F.col("window_end").desc()]
@@ -50,20 +55,20 @@ def read_log(spark, path):
     return spark.read.schema(schemas.SERVING_LOG).parquet(path)
 
 
-def latest(log):
+def latest(batches):
     """Last write wins. An aggregate, so copies of a key are folded before the exchange."""
     values = [name for name in schemas.SERVING.names if name not in schemas.SERVING_KEY]
     return (
-        log.groupBy(schemas.SERVING_KEY)
+        batches.groupBy(schemas.SERVING_KEY)
         .agg(F.max_by(F.struct(*values), F.struct("run_id", "batch_id")).alias("row"))
         .select(*schemas.SERVING_KEY, "row.*")
     )
 
 
-def district_series(log, district):
+def district_series(batches, district):
     """Observed and predicted PM2.5 of one district, newest first; reads its folders only."""
     return (
-        latest(log.where(F.col("district") == district))
+        latest(batches.where(F.col("district") == district))
         .select("window_end", "avg_pm25", "predicted_pm25")
         .orderBy(F.col("window_end").desc())
     )

@@ -7,7 +7,8 @@ from kerbside.operators import scoring, serving, training
 from kerbside.plans import batch, feeds, streams
 from kerbside.session import workspace
 from kerbside.sources.datasets import read_silver
-from kerbside.streaming.gold import start_gold, table_sink
+from kerbside.sources.topics import read_message_files
+from kerbside.streaming.gold import start_gold, table_sink, windows
 from kerbside.streaming.triggers import ONCE
 
 DIGITS = 6
@@ -104,5 +105,41 @@ def gold_serving(spark, sf_dir):
         f"{root}/model",
         ONCE,
     ).awaitTermination()
-    rows = serving.latest(serving.read_log(spark, f"{root}/serving"))
+    return _served(spark, f"{root}/serving")
+
+
+def gold_two_runs(spark, sf_dir):
+    """The gold job stopped and resumed, with the first model saved in between.
+
+    The first run takes the events up to the day in the middle, the second the rest; windows
+    closed by the first carry no prediction.
+    """
+    events = feeds.read_events(spark, sf_dir)
+    middle = (F.unix_seconds(F.min(_instant())) + F.unix_seconds(F.max(_instant()))) / 2
+    cut = events.select(F.date_trunc("day", F.timestamp_seconds(middle)).alias("cut")).first().cut
+    root = workspace(spark, "runs")
+
+    def run(part):
+        for feed in streams.FEEDS:
+            sent = feeds.messages(events.where(part), feed)
+            sent.write.mode("append").parquet(f"{root}/{feed}")
+        kpi = windows(
+            *[read_message_files(spark, f"{root}/{feed}") for feed in streams.FEEDS],
+            width="1 hour",
+        )
+        sink = table_sink(f"{root}/serving")
+        start_gold(kpi, sink, f"{root}/progress", f"{root}/model", ONCE).awaitTermination()
+
+    run(_instant() < cut)
+    trained(spark, events, f"{root}/model")
+    run(_instant() >= cut)
+    return _served(spark, f"{root}/serving")
+
+
+def _instant():
+    return F.col("ts").cast("timestamp")
+
+
+def _served(spark, path):
+    rows = serving.latest(serving.read_log(spark, path))
     return _rounded(rows.withColumn("window_end", batch.ntz("window_end")), "predicted_pm25")

@@ -25,5 +25,6 @@ QUERIES = {
     "serving_latest": models.serving_latest,
     "district_series": models.district_series,
     "gold_serving": models.gold_serving,
+    "gold_two_runs": models.gold_two_runs,
     "history_sql": streams.history_sql,
 }

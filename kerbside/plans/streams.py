@@ -60,13 +60,13 @@ def bronze_ingest(spark, sf_dir):
     paths = run_bronze(spark, sf_dir)
 
     def side(feed):
-        payload = F.col("json_payload")
         return (
             read_bronze(spark, paths[feed])
             .select(
                 F.lit(feed).alias("feed"),
-                F.get_json_object(payload, "$.sensor_id").alias("sensor_id"),
-                F.get_json_object(payload, "$.timestamp").alias("timestamp"),
+                F.json_tuple("json_payload", "sensor_id", "timestamp").alias(
+                    "sensor_id", "timestamp"
+                ),
                 (F.to_date("ingestion_time") == F.to_date("ingestion_date")).alias("dated"),
             )
             .groupBy("feed", "sensor_id")

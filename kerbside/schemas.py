@@ -35,8 +35,12 @@ POLLUTION = _struct(
 PAYLOADS = {"traffic": TRAFFIC, "pollution": POLLUTION}
 
 # What the KPIs take from a payload.
-KPI_TRAFFIC = StructType([TRAFFIC[n] for n in ("district", "speed_kmh", "vehicle_count", "timestamp")])
-KPI_POLLUTION = StructType([POLLUTION[n] for n in ("district", "pm25", "timestamp")])
+KPI_PAYLOADS = {
+    "traffic": StructType(
+        [TRAFFIC[name] for name in ("district", "speed_kmh", "vehicle_count", "timestamp")]
+    ),
+    "pollution": StructType([POLLUTION[name] for name in ("district", "pm25", "timestamp")]),
+}
 
 # Datasets at rest. The partition column comes last, as Spark reads it back.
 BRONZE = _struct(

@@ -13,9 +13,11 @@ from kerbside.session import use_state_settings
 from kerbside.streaming.triggers import trigger
 
 
-def windows(traffic, pollution, width="1 minute", watermark="1 minute", per_feed=False):
+def windows(
+    traffic, pollution, width="1 minute", watermark="1 minute", per_feed=False, metrics=None
+):
     """KPI rows from two message streams. Each window comes out once, when it has closed."""
-    return kpis(unify_messages(traffic, pollution, watermark, per_feed), width)
+    return kpis(unify_messages(traffic, pollution, watermark, per_feed, metrics), width)
 
 
 def table_sink(path, run_id=0):

@@ -86,10 +86,12 @@ def test_stalled_feed(spark, folder, per_feed):
     assert row.avg_pm25 == (60.0 if per_feed else 30.0)
 
 
-def test_bad_messages_do_not_stop_the_stream(spark, folder):
-    feeds = Feeds(spark, folder)
+def test_bad_messages_are_counted_and_do_not_stop_the_stream(spark, folder):
+    feeds = Feeds(spark, folder, metrics="gold")
     bad = ["not json", None, {**traffic(), "timestamp": "bad"}, traffic(time=None)]
-    feeds.run([*bad, traffic("00:00:10"), traffic(district=None), traffic("00:05:00")])
+    query = feeds.run([*bad, traffic("00:00:10"), traffic(district=None), traffic("00:05:00")])
+    counts = query.recentProgress[0].observedMetrics["gold_traffic"]
+    assert (counts.messages, counts.rejected, counts.untimed) == (7, 2, 4)
     # A null district is a KPI group, but no serving key.
     assert list(feeds.served()) == [("Centre", "00:01")]
 

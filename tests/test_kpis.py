@@ -1,5 +1,7 @@
 """Windows, aggregates and alert rules on hand-written events."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +86,43 @@ def test_alert_level(spark, pm25, level):
 def test_alert_predicted(spark, pm25, density, level):
     rows = spark.createDataFrame([(pm25, density)], "v double, d int")
     assert rows.select(alert_predicted(F.col("v"), F.col("d"))).first()[0] == level
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    draw = random.Random(seed)
+
+    def some(value):
+        return None if draw.random() < 0.15 else value
+
+    def event(make, **measures):
+        second = draw.randrange(600)
+        time = some(f"00:{second // 60:02}:{second % 60:02}")
+        return make(time, some(draw.choice(["Centre", "Nord", "Sud"])), **measures)
+
+    traffic_rows = [
+        event(traffic, speed=some(draw.randrange(130)), count=some(draw.randrange(50)))
+        for _ in range(200)
+    ]
+    pollution_rows = [event(pollution, pm25=some(draw.randrange(100))) for _ in range(100)]
+    groups = {}
+    for row in traffic_rows + pollution_rows:
+        if row["timestamp"]:
+            minute = int(row["timestamp"][14:16])
+            groups.setdefault((row["district"], f"00:{minute + 1:02}"), []).append(row)
+
+    def known(rows, name):
+        return [row[name] for row in rows if row.get(name) is not None]
+
+    def mean(values):
+        return sum(values) / len(values) if values else None
+
+    got = rows_of(spark, traffic_rows, pollution_rows)
+    assert {key: (row.avg_speed, row.max_density, row.avg_pm25) for key, row in got.items()} == {
+        key: (
+            mean(known(rows, "speed_kmh")),
+            max(known(rows, "vehicle_count"), default=None),
+            mean(known(rows, "pm25")),
+        )
+        for key, rows in groups.items()
+    }
