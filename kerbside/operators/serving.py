@@ -79,5 +79,9 @@ def newest_first(rows):
 
 
 def fold(spark, path, target, run_id=0):
-    """Rewrite the table's current rows as one batch of a new table at ``target``."""
+    """Rewrite the table's current rows as one batch of a new table at ``target``.
+
+    For a table whose batches have become many. Stop the job that writes it first, then
+    start it on a new checkpoint and ``target``, with the next ``run_id``.
+    """
     upsert_batch(latest(read_log(spark, path)), 0, target, run_id)

@@ -1,5 +1,7 @@
 """The gold stream: closing windows, late rows, stalls, restarts and scoring."""
 
+import random
+
 import pytest
 
 from helpers import pollution, send, traffic
@@ -142,3 +144,37 @@ def test_state_store_of_the_stream(spark, folder):
     query.awaitTermination()
     metrics = query.recentProgress[0]["stateOperators"][0]["customMetrics"]
     assert any(name.startswith("rocksdb") for name in metrics)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_arrivals_against_brute_force(spark, folder, seed):
+    """Three runs of out-of-order events: what is late, what comes out and with which values."""
+    draw = random.Random(seed)
+    feeds = Feeds(spark, folder)
+    newest, watermark, open_windows, expected, late = 0, 0, {}, {}, 0
+    for start in (0, 180, 420):
+        seconds = [start + draw.randrange(400) for _ in range(25)]
+        speeds = [draw.randrange(130) for _ in seconds]
+        districts = [draw.choice(["Centre", "Nord"]) for _ in seconds]
+        query = feeds.run(
+            [
+                traffic(f"00:{second // 60:02}:{second % 60:02}", district, speed)
+                for second, district, speed in zip(seconds, districts, speeds)
+            ]
+        )
+        late_keys = set()
+        for second, district, speed in zip(seconds, districts, speeds):
+            end = (second // 60 + 1) * 60
+            if end <= watermark:
+                late_keys.add((district, end))
+            else:
+                open_windows.setdefault((district, end), []).append(speed)
+        newest = max(newest, *seconds)
+        watermark = max(watermark, newest - 60)
+        for district, end in [key for key in open_windows if key[1] <= watermark]:
+            values = open_windows.pop((district, end))
+            expected[district, f"00:{end // 60:02}"] = sum(values) / len(values)
+        late += len(late_keys)
+        assert (dropped(query) > 0) == bool(late_keys)
+    assert late > 0
+    assert {key: row.avg_speed for key, row in feeds.served().items()} == expected

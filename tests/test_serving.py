@@ -2,6 +2,7 @@
 
 import datetime
 import glob
+import random
 
 from pyspark.sql import functions as F
 
@@ -127,3 +128,18 @@ def test_external_store_gets_serving_rows(spark, folder):
     stored = spark.read.json(f"{folder}/store")
     assert stored.count() == 1
     assert set(stored.columns) <= set(schemas.SERVING.names)
+
+
+def test_random_batches_against_brute_force(spark, folder):
+    draw = random.Random(3)
+    written, expected = {}, {}
+    for run_id, batch_id in ((0, 0), (0, 1), (0, 2), (1, 0), (1, 1)):
+        keys = [(district, minute) for district in ("Centre", "Nord") for minute in range(6)]
+        values = [(*key, draw.random()) for key in draw.sample(keys, 5)]
+        written[run_id, batch_id] = values
+        expected.update({(district, minute): value for district, minute, value in values})
+    order = [*written, *draw.sample(list(written), 3)]
+    draw.shuffle(order)
+    for run_id, batch_id in order:
+        serving.upsert_batch(rows(spark, *written[run_id, batch_id]), batch_id, folder, run_id)
+    assert current(spark, folder) == expected
