@@ -7,11 +7,11 @@ from kerbside.functions.parsing import decode, is_reject, observe_quality, parse
 
 def to_bronze(messages):
     """The payload untouched as text, with the time and UTC day it came in."""
-    return (
-        decode(messages)
-        .withColumnRenamed("json", "json_payload")
-        .withColumn("ingestion_time", F.current_timestamp())
-        .withColumn("ingestion_date", F.date_format("ingestion_time", "yyyy-MM-dd"))
+    now = F.current_timestamp()
+    return decode(messages).select(
+        F.col("json").alias("json_payload"),
+        now.alias("ingestion_time"),
+        F.date_format(now, "yyyy-MM-dd").alias("ingestion_date"),
     )
 
 
@@ -49,8 +49,12 @@ def pack(rows, rows_per_file=5_000_000):
     """Silver rows in files of similar size, for history a stream wrote as many small ones.
 
     Ranges are cut by time within a district, so one busy district still spreads over many
-    tasks.
+    tasks, and by row number within a time, so copies of one event do as well.
     """
-    keys = ["district", "event_time"]
     files = 1 + rows.count() // rows_per_file
-    return rows.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    return (
+        rows.withColumn("row", F.monotonically_increasing_id())
+        .repartitionByRange(files, "district", "event_time", "row")
+        .sortWithinPartitions("district", "event_time")
+        .drop("row")
+    )

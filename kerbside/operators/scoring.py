@@ -30,9 +30,13 @@ class LatestModel:
 
     def _version(self):
         """Name and time of the file a save writes last: there only once the save is complete."""
-        files = self.spark.read.format("binaryFile")
+        files = (
+            self.spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+        )
         try:
-            return files.load(f"{self.path}/stages/*/data").select("path", "modificationTime").first()
+            return files.load(f"{self.path}/stages").select("path", "modificationTime").first()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None

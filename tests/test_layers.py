@@ -151,15 +151,17 @@ def test_triggers():
     assert trigger("10 seconds") == {"processingTime": "10 seconds"}
 
 
-def test_pack_splits_one_district_by_time(spark):
-    start = datetime.datetime(2024, 1, 1)
+@pytest.mark.parametrize("step", [1, 0])
+def test_pack_splits_one_district_and_copies_of_one_event(spark, step):
+    start = F.lit(datetime.datetime(2024, 1, 1)).cast("timestamp")
     rows = spark.range(1000).select(
         F.lit("Centre").alias("district"),
-        (F.lit(start).cast("timestamp") + F.make_dt_interval(secs=F.col("id"))).alias("event_time"),
+        (start + F.make_dt_interval(secs=F.col("id") * step)).alias("event_time"),
     )
     packed = layers.pack(rows, 300)
     sizes = packed.groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) == 4 and max(size["count"] for size in sizes) < 500
+    assert packed.columns == rows.columns
     assert packed.count() == 1000
 
 
