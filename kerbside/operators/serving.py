@@ -16,6 +16,7 @@ from kerbside import schemas
 log = logging.getLogger(__name__)
 
 ROWS_PER_FILE = 1_000_000
+WRITE_ORDER = ["run_id", "batch_id"]
 
 
 def serving_rows(scored):
@@ -57,19 +58,24 @@ def read_log(spark, path):
 
 def latest(batches):
     """Last write wins. An aggregate, so copies of a key are folded before the exchange."""
-    values = [name for name in schemas.SERVING.names if name not in schemas.SERVING_KEY]
+    values = [c for c in batches.columns if c not in (*schemas.SERVING_KEY, *WRITE_ORDER)]
     return (
         batches.groupBy(schemas.SERVING_KEY)
-        .agg(F.max_by(F.struct(*values), F.struct("run_id", "batch_id")).alias("row"))
+        .agg(F.max_by(F.struct(*values), F.struct(*WRITE_ORDER)).alias("row"))
         .select(*schemas.SERVING_KEY, "row.*")
     )
 
 
 def district_series(batches, district):
-    """Observed and predicted PM2.5 of one district, newest first; reads its folders only."""
+    """Observed and predicted PM2.5 of one district, newest first.
+
+    Reads the district's folders and these columns only.
+    """
+    columns = ["window_end", "avg_pm25", "predicted_pm25"]
+    own = batches.where(F.col("district") == district)
     return (
-        latest(batches.where(F.col("district") == district))
-        .select("window_end", "avg_pm25", "predicted_pm25")
+        latest(own.select("district", *columns, *WRITE_ORDER))
+        .select(*columns)
         .orderBy(F.col("window_end").desc())
     )
 

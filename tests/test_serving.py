@@ -89,6 +89,8 @@ def test_district_series(spark, folder):
     assert serving.district_series(serving.read_log(spark, folder), "007").count() == 1
     plan = series._jdf.queryExecution().executedPlan().toString()
     assert "(district" in plan[plan.index("PartitionFilters") :]
+    columns = "window_end:timestamp,avg_pm25:double,predicted_pm25:double"
+    assert f"ReadSchema: struct<{columns}>" in plan
 
 
 def test_order_of_the_whole_table(spark, folder):
