@@ -214,6 +214,8 @@ def main(argv=None, spark=None):
     if args.job in ("bronze", "silver", "gold") and args.source == "kafka" and not args.servers:
         raise SystemExit("--servers is needed to read topics")
     spark = session.use_utc(spark or session.build(f"kerbside {args.job}"))
+    # Streams this session ran earlier do not count as this job's.
+    spark.streams.resetTerminated()
     result = args.run(spark, args)
     if args.streaming:
         wait(spark, *(result if args.once else []))

@@ -59,15 +59,17 @@ def training_pairs(spark, sf_dir):
     return training.pair_totals(hours, "district")
 
 
-# What each event type turns a message into when its feed misbehaves.
 def _faulty_messages(events, feed):
+    """The feeds misbehaving: the event type decides what is wrong with a message.
+
+    Traffic: junk text, a count sent as text, or a fractional speed beside an unknown field.
+    Pollution: an unreadable time, or no message at all where the value is low.
+    """
     fields = feeds.payload_fields(feed)
     kind = F.col("event_type")
     junk = F.concat(F.lit("not json "), F.col("event_id").cast("string")).cast("binary")
-    clean = feeds.to_message(fields)
     if feed == "traffic":
-        fraction = {**fields, "speed_kmh": F.col("value") + 0.5}
-        fraction["extra"] = F.lit(1)
+        fraction = {**fields, "speed_kmh": F.col("value") + 0.5, "extra": F.lit(1)}
         text = {**fields, "vehicle_count": fields["vehicle_count"].cast("string")}
         value = (
             F.when(kind == "error", junk)
@@ -77,7 +79,7 @@ def _faulty_messages(events, feed):
     else:
         no_time = {**fields, "timestamp": F.lit("bad")}
         value = F.when(kind == "signup", feeds.to_message(no_time)).otherwise(
-            F.when(F.col("value") > 50, clean)
+            F.when(F.col("value") > 50, feeds.to_message(fields))
         )
     return feeds.of_feed(events, feed).select(value.alias("value"))
 

@@ -81,7 +81,8 @@ def payload_fields(feed):
 
 def to_message(fields):
     """JSON bytes, as a broker delivers them."""
-    return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()])).cast("binary")
+    payload = F.struct(*[value.alias(name) for name, value in fields.items()])
+    return F.to_json(payload).cast("binary")
 
 
 def messages(events, feed):

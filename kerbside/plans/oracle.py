@@ -65,9 +65,9 @@ in_time AS (
        OR time_bucket(INTERVAL '1 hour', time) + INTERVAL '1 hour' > first_watermark)
 """
 
+MIDDLE = "make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2)"
 FIRST_RUN = f"""(SELECT {_watermark('max(time)')} FROM unified
-    WHERE time < (SELECT date_trunc('day', make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2))
-                  FROM events))"""
+    WHERE time < (SELECT date_trunc('day', {MIDDLE}) FROM events))"""
 
 PAIRS = """
 pairs AS (

@@ -17,7 +17,9 @@ def duck(sf_dir):
 
 
 def _key(row):
-    return tuple((value is None, str(type(value)), value if value is not None else 0) for value in row)
+    return tuple(
+        (value is None, str(type(value)), 0 if value is None else value) for value in row
+    )
 
 
 def spark_rows(frame):

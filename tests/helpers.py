@@ -51,7 +51,10 @@ def send(spark, rows, path):
 def silver_traffic(spark, rows):
     """Rows of (district, time, speed, count) as the cleaned dataset has them."""
     return spark.createDataFrame(
-        [("cam_1", 48.85, 2.35, speed, count, time, district) for district, time, speed, count in rows],
+        [
+            ("cam_1", 48.85, 2.35, speed, count, time, district)
+            for district, time, speed, count in rows
+        ],
         schemas.SILVER_TRAFFIC,
     )
 

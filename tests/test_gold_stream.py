@@ -53,7 +53,9 @@ def dropped(query):
 
 def test_window_comes_out_once_closed(spark, folder):
     feeds = Feeds(spark, folder)
-    feeds.run([traffic("00:00:10", speed=40), traffic("00:01:59")], [pollution("00:00:20", pm25=90)])
+    feeds.run(
+        [traffic("00:00:10", speed=40), traffic("00:01:59")], [pollution("00:00:20", pm25=90)]
+    )
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         feeds.served()
     feeds.run([traffic("00:00:50", speed=60), traffic("00:02:00")])

@@ -2,6 +2,7 @@
 
 import datetime
 import glob
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,7 +53,8 @@ def test_event_time_is_utc_with_fractions(spark):
         messages(spark, [{**traffic(), "timestamp": "2024-01-01T00:00:07.179575Z"}]),
         schemas.TRAFFIC,
     )
-    assert rows.select(F.col("event_time").cast("string")).first()[0] == "2024-01-01 00:00:07.179575"
+    text = rows.select(F.col("event_time").cast("string")).first()[0]
+    assert text == "2024-01-01 00:00:07.179575"
 
 
 def test_bronze_rows(spark):
@@ -127,7 +129,8 @@ def test_silver_by_day_and_numeric_looking_district(spark, folder):
 
 
 def test_text_source(spark, folder):
-    (open(f"{folder}/lines.txt", "w")).write('{"district": "Nord"}\njunk\n')
+    with open(f"{folder}/lines.txt", "w") as lines:
+        lines.write('{"district": "Nord"}\njunk\n')
     query = start_bronze(
         read_message_files(spark, folder, "text", pathGlobFilter="*.txt"),
         f"{folder}/out",
@@ -146,6 +149,24 @@ def test_broker_source_needs_its_connector(spark):
         read_topic(spark, "traffic-raw", "broker:9092", maxOffsetsPerTrigger="1000")
 
 
+def test_live_trigger_and_waiting_for_any(spark, folder):
+    send(spark, [traffic()] * 3, f"{folder}/feed")
+    spark.streams.resetTerminated()
+    query = start_bronze(
+        read_message_files(spark, f"{folder}/feed"),
+        f"{folder}/out",
+        f"{folder}/progress",
+        "1 second",
+        "live",
+    )
+    assert query.isActive and query.name == "live"
+    query.processAllAvailable()
+    threading.Timer(0.5, query.stop).start()
+    wait(spark)
+    assert not query.isActive
+    assert read_bronze(spark, f"{folder}/out").count() == 3
+
+
 def test_triggers():
     assert trigger(ONCE) == {"availableNow": True}
     assert trigger("10 seconds") == {"processingTime": "10 seconds"}

@@ -53,7 +53,7 @@ def test_layers_do_not_shuffle(spark, sf_dir):
 
 def test_training_join_adds_no_exchange_to_its_two_aggregates(spark, sf_dir):
     events = feeds.read_events(spark, sf_dir)
-    hours = training.paired_hours(batch.silver(events, "traffic"), batch.silver(events, "pollution"))
+    hours = training.paired_hours(*[batch.silver(events, f) for f in ("traffic", "pollution")])
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:

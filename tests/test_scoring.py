@@ -12,8 +12,9 @@ START = datetime.datetime(2024, 1, 1)
 
 
 def train(spark, factor=2):
-    traffic = [("Centre", START + datetime.timedelta(hours=i), 40 + i, 3 * i % 7) for i in range(12)]
-    pollution = [("Centre", START + datetime.timedelta(hours=i), factor * i) for i in range(12)]
+    times = [START + datetime.timedelta(hours=i) for i in range(12)]
+    traffic = [("Centre", time, 40 + i, 3 * i % 7) for i, time in enumerate(times)]
+    pollution = [("Centre", time, factor * i) for i, time in enumerate(times)]
     return training.train_on_pairs(
         silver_traffic(spark, traffic), silver_pollution(spark, pollution)
     )

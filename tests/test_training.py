@@ -127,8 +127,9 @@ def test_no_pairs(spark):
 
 
 def test_training_on_windows(spark):
-    traffic = [("Centre", START + datetime.timedelta(minutes=i), 40 + i % 7, i) for i in range(12)]
-    pollution = [("Centre", START + datetime.timedelta(minutes=i), 3 * i + i % 5) for i in range(12)]
+    times = [START + datetime.timedelta(minutes=i) for i in range(12)]
+    traffic = [("Centre", time, 40 + i % 7, i) for i, time in enumerate(times)]
+    pollution = [("Centre", time, 3 * i + i % 5) for i, time in enumerate(times)]
     windows = kpis(unify(*frames(spark, traffic, pollution)))
     model = training.train_on_windows(windows)
     assert line(model) == pytest.approx(
