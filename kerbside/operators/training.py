@@ -8,6 +8,9 @@ sides are folded to one row per (district, hour) before they meet, and the model
 as if the pairs had been written out, at a cost linear in the events.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -19,16 +22,19 @@ MIN_ROWS = 10
 HOUR = ["district", "hour"]
 
 
-def _hourly(rows):
-    return rows.withColumn("hour", F.date_trunc("hour", "event_time"))
+def _hourly(rows, *measures):
+    """Events complete in what training needs, with their hour.
+
+    Spelled out column by column, as Parquet takes these filters and not those of ``dropna``.
+    """
+    complete = reduce(and_, [F.col(c).isNotNull() for c in ("district", "event_time", *measures)])
+    return rows.where(complete).withColumn("hour", F.date_trunc("hour", "event_time"))
 
 
 def traffic_hours(traffic):
     """Count, sums and moments of the complete traffic events of each district and hour."""
     return (
-        _hourly(traffic)
-        .where(F.col("district").isNotNull() & F.col("hour").isNotNull())
-        .dropna(subset=FEATURES)
+        _hourly(traffic, *FEATURES)
         .groupBy(HOUR)
         .agg(
             F.count(F.lit(1)).alias("n_traffic"),
@@ -45,9 +51,7 @@ def traffic_hours(traffic):
 
 def pollution_hours(pollution):
     return (
-        _hourly(pollution)
-        .where(F.col("district").isNotNull() & F.col("hour").isNotNull())
-        .dropna(subset=["pm25"])
+        _hourly(pollution, "pm25")
         .groupBy(HOUR)
         .agg(
             F.count(F.lit(1)).alias("n_pollution"),

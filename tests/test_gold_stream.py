@@ -180,3 +180,23 @@ def test_random_arrivals_against_brute_force(spark, folder, seed):
         assert (dropped(query) > 0) == bool(late_keys)
     assert late > 0
     assert {key: row.avg_speed for key, row in feeds.served().items()} == expected
+
+
+def test_batch_written_before_a_crash_is_replayed_in_place(spark, folder):
+    feeds = Feeds(spark, folder)
+    table = feeds.sink
+
+    def write_then_crash(rows, batch_id):
+        table(rows, batch_id)
+        if rows.count():
+            raise RuntimeError("lost after the write")
+
+    feeds.sink = write_then_crash
+    with pytest.raises(Exception, match="lost after the write"):
+        feeds.run([traffic("00:00:10", speed=40), traffic("00:01:10"), traffic("00:05:00")])
+    before = feeds.served()
+    assert len(before) == 2
+    feeds.sink = table
+    feeds.run([traffic("00:05:10")])
+    assert feeds.served() == before
+    assert serving.read_log(spark, f"{folder}/serving").count() == 2

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as spark_entry
+from helpers import silver_traffic
 from kerbside.operators import layers, scoring, training
 from kerbside.plans import batch, feeds
 from kerbside.schemas import TRAFFIC
-from test_scoring import train
+from kerbside.sources.datasets import read_silver
+from test_scoring import START, train
 
 PLAIN = ["unified_events", "kpi_1m", "alert_summary", "training_pairs", "parse_faults"]
 
@@ -69,3 +71,16 @@ def test_scoring_does_not_shuffle(spark, sf_dir):
     kpi = batch.kpi(feeds.read_events(spark, sf_dir), "1 hour")
     scored = plan_of(scoring.score(kpi, train(spark)))
     assert scored.count("Exchange") == plan_of(kpi).count("Exchange")
+
+
+def test_training_reads_only_its_columns_of_the_history(spark, folder):
+    silver_traffic(spark, [("Centre", START, 40, 4)]).write.partitionBy("district").parquet(
+        f"{folder}/traffic"
+    )
+    rows = training.traffic_hours(read_silver(spark, f"{folder}/traffic", "traffic"))
+    plan = plan_of(rows)
+    columns = "speed_kmh:int,vehicle_count:int,event_time:timestamp"
+    assert f"ReadSchema: struct<{columns}>" in plan
+    assert "PartitionFilters: [isnotnull(district" in plan
+    for column in ("event_time", "speed_kmh", "vehicle_count"):
+        assert f"IsNotNull({column})" in plan[plan.index("PushedFilters") :]
