@@ -6,19 +6,47 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import jaccard
-from kerbside.llm.store import documents, materialize, ship
+from kerbside.llm import decontaminate, jaccard, mixing, sharding, toxicity
+from kerbside.llm.store import documents, materialize, ship, table
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, fitted on the labelled ones among them, does not reject."""
     ship(spark)
-    return jaccard.drop_copies(docs)
+    return toxicity.reject(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of five-word Jaccard similarity 0.8 or more."""
+    ship(spark)
+    return jaccard.drop_copies(docs, k=5, percent=80)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy of a benchmark item."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    ship(spark)
+    return mixing.mixed_documents(docs)
+
+
+def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their slot and shard."""
+    ship(spark)
+    return sharding.place(docs)
 
 
 STAGES = [
-    ("near copies", near_copies),
+    ("toxicity", drop_toxic),
+    ("near copies", drop_near_copies),
+    ("decontamination", drop_benchmark_leaks),
+    ("source mix", mix_sources),
+    ("sharding", place_in_shards),
 ]
-ORACLE_SQL = None  # classifiers and seeded selections have no SQL form; the tests compare with brute force
+ORACLE_SQL = None  # classifiers and alignments have no SQL form; the tests compare with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

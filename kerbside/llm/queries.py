@@ -5,17 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbside.llm import jaccard
-from kerbside.llm.store import documents
+from kerbside.llm import decontaminate, jaccard, mixing, sharding, toxicity
+from kerbside.llm.store import documents, table
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a test item it has a copy of."""
+    return decontaminate.find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_groups(documents(spark, sf_dir), k=4, percent=85)
 
 
+def shard_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(documents(spark, sf_dir).select("doc_id", "text"))
+    return placed.select("doc_id", "slot", "shard", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": decontamination,
+    "op2_mixing": source_mixing,
+    "op4_toxicity": toxic_scores,
     "op6_ngram_join": ngram_join,
+    "op10_sharding": shard_places,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_sharding": sharding.sharding_sql()}
