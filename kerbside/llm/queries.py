@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, jaccard, mixing, sharding, toxicity
+from kerbside.llm import decontaminate, jaccard, language, mixing, quality, sharding, toxicity
 from kerbside.llm.store import documents, table
 
 
@@ -24,10 +24,18 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_groups(documents(spark, sf_dir), k=4, percent=85)
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def shard_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(documents(spark, sf_dir).select("doc_id", "text"))
     return placed.select("doc_id", "slot", "shard", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
@@ -37,7 +45,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination,
     "op2_mixing": source_mixing,
     "op4_toxicity": toxic_scores,
+    "op5_language": languages,
     "op6_ngram_join": ngram_join,
+    "op8_quality": quality_rules,
     "op10_sharding": shard_places,
 }
 
