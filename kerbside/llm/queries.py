@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, jaccard, language, mixing, quality, sharding, toxicity
+from kerbside.llm import decontaminate, extract, jaccard, language, mixing, quality, sharding, suffixes, toxicity
 from kerbside.llm.store import documents, table
 
 
@@ -32,10 +32,19 @@ def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_groups(documents(spark, sf_dir), k=4, percent=85)
 
 
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def shard_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(documents(spark, sf_dir).select("doc_id", "text"))
     return placed.select("doc_id", "slot", "shard", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
@@ -47,7 +56,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": toxic_scores,
     "op5_language": languages,
     "op6_ngram_join": ngram_join,
+    "op7_suffix_dedup": repeated_strings,
     "op8_quality": quality_rules,
+    "op9_html_extraction": page_texts,
     "op10_sharding": shard_places,
 }
 
