@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, extract, jaccard, language, mixing, quality, sharding, suffixes, toxicity
+from kerbside.llm import decontaminate, extract, jaccard, language, mixing, quality, sharding, suffixes, surrogates, toxicity
 from kerbside.llm.store import documents, table
 
 
@@ -20,6 +20,10 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(documents(spark, sf_dir))
+
+
 def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ def shard_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination,
     "op2_mixing": source_mixing,
+    "op3_pii": personal_data,
     "op4_toxicity": toxic_scores,
     "op5_language": languages,
     "op6_ngram_join": ngram_join,
