@@ -5,8 +5,9 @@ made cheaper by the relations between sets:
 
 * the shingles of all sets have one global order, those found to be frequent last, and an index list holds the classes
   that have its shingle among the first ``n - ceil(t n) + 1`` of their ``n``; any two similar classes share such a list;
-* a list is cut into blocks by set size, and a probe skips all blocks but its own and the next; within a block it skips
-  entries whose position in the prefix leaves too few shingles to reach the threshold;
+* a list is cut into blocks by set size, and a probe skips all blocks but its own and the next; a pair is skipped if
+  the positions of its first shared shingle, the number of lists it shares or the bits in which 512-bit maps of the two
+  sets differ leave the threshold out of reach;
 * a set takes its answers from a highly similar set: first each class is compared only with its predecessor in each
   list, and linked classes become one component. What a component has found holds for all its members, so the second
   join probes only entries of different components. Every link between different components is found there.
@@ -29,7 +30,8 @@ from kerbside.llm import graph, text
 from kerbside.llm.store import materialize
 
 COUNTERS = 1 << 18  # hashed counters that tell frequent shingles; their number does not depend on the data
-HASHED = "doc_id long, n long, cid long"
+MAP = [f"m{i}" for i in range(8)]  # 512 bits of a set: each is the parity of the shingles hashed to it
+HASHED = f"doc_id long, n long, cid long, {', '.join(f'{m} long' for m in MAP)}"
 POSTED = "token long, cid long, n int, pos int"
 LINKED = "a long, b long"
 
@@ -54,6 +56,13 @@ def _class_ids(h, doc, rows):
     return n, text.mix(sums[0] ^ text.mix(sums[1] + n.astype(np.uint64))).view(np.int64)
 
 
+def _maps(h, doc, rows):
+    """The 8 words of each set's bit map. Bits in which two maps differ are no more than shingles in which the sets do."""
+    slot = (text.mix(h ^ text.u64(0xA4093822299F31D0)) & text.u64(511)).astype(np.int64)
+    odd = (np.bincount(doc * 512 + slot, minlength=rows * 512) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(rows, 512), axis=1, bitorder="little").view(np.int64)
+
+
 def _heavy(k):
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
@@ -70,7 +79,8 @@ def _hashed(k):
     def run(batches):
         for piece, h, doc in _sets(batches, k):
             n, cid = _class_ids(h, doc, piece.num_rows)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n), pa.array(cid)], ["doc_id", "n", "cid"])
+            maps = _maps(h, doc, piece.num_rows)
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n), pa.array(cid), *map(pa.array, maps.T.copy())], ["doc_id", "n", "cid", *MAP])
 
     return run
 
@@ -134,8 +144,21 @@ def _weights(docs, k):
     return docs.sparkSession.sparkContext.broadcast(weights)
 
 
-def _similar(pairs, texts, k, percent):
-    """Links among ``pairs(ca, cb)`` of classes, as representatives' ids."""
+def _least_lists(percent):
+    """Number of lists that a pair of ``na`` and ``nb`` shingles must share at least to be similar.
+
+    What the sets share is in both prefixes or, beyond that of the set whose prefix ends first, among the rest of it.
+    """
+    shared = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    rest = [F.floor((percent * F.col(n) + 99) / 100) - 1 for n in ("na", "nb")]
+    return F.greatest(F.lit(1), shared - F.greatest(*rest))
+
+
+def _similar(docs, classes, pairs, k, percent):
+    """Links among the written ``pairs(ca, cb)`` of classes, as representatives' ids."""
+    wanted = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct().join(classes, "cid").where("rep IS NOT NULL")
+    texts = docs.withColumnRenamed("doc_id", "rep").join(wanted.hint("shuffle_hash"), "rep").select("cid", "rep", "text")
+    texts = materialize(texts, "texts")
     side = lambda s: texts.select(F.col("cid").alias(f"cid_{s}"), F.col("rep").alias(s), F.col("text").alias(f"text_{s}"))
     a, b = side("a"), side("b")
     joined = pairs.join(a, pairs["ca"] == a["cid_a"]).join(b, pairs["cb"] == b["cid_b"])
@@ -153,7 +176,7 @@ def join_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hashed = materialize(docs.mapInArrow(_hashed(k), HASHED), "hashed")
-    classes = materialize(hashed.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = materialize(hashed.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), *(F.max(m).alias(m) for m in MAP)), "classes")
 
     posted = docs.mapInArrow(_posted(k, percent, _weights(docs, k)), POSTED)
     listed = Window.partitionBy("token").orderBy("n", "cid")
@@ -162,21 +185,20 @@ def join_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     ).where("before <> cid OR after <> cid")
     entries = materialize(entries, "entries")
 
-    wanted = materialize(entries.select("cid").distinct(), "wanted").join(classes, "cid").where("rep IS NOT NULL")
-    texts = materialize(docs.withColumnRenamed("doc_id", "rep").join(wanted.hint("shuffle_hash"), "rep").select("cid", "rep", "text"), "texts")
-
-    near = entries.where(f"before <> cid AND 100 * n_before >= {percent} * n").select(F.col("before").alias("ca"), F.col("cid").alias("cb")).distinct()
-    links = materialize(_similar(near, texts, k, percent), "links")
+    near = entries.where(f"before <> cid AND 100 * n_before >= {percent} * n").groupBy(F.col("before").alias("ca"), F.col("cid").alias("cb"))
+    near = near.agg(F.count("*").alias("lists"), F.first("n_before").alias("na"), F.first("n").alias("nb"))
+    near = near.where(4 * F.col("lists") >= _least_lists(percent)).select("ca", "cb")
+    links = materialize(_similar(docs, classes, materialize(near, "near"), k, percent), "links")
     first = graph.components(links)
 
-    links = links.union(_across(entries, classes, first, texts, k, percent))
+    links = links.union(_across(docs, entries, classes, first, k, percent))
     return _labelled(hashed, classes, graph.components(links))
 
 
-def _across(entries, classes, first, texts, k, percent):
+def _across(docs, entries, classes, first, k, percent):
     """Links between classes of different components: the second probe of the index."""
     component = materialize(
-        classes.where("rep IS NOT NULL").join(first, F.col("rep") == F.col("node"), "left").select("cid", F.coalesce("component", "rep").alias("component")), "known"
+        classes.where("rep IS NOT NULL").join(first, F.col("rep") == F.col("node"), "left").select("cid", F.coalesce("component", "rep").alias("component"), *MAP), "component"
     )
     known = entries.select("token", "cid", "n", "pos").join(component, "cid")
     mixed = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
@@ -186,14 +208,20 @@ def _across(entries, classes, first, texts, k, percent):
     right = left.select(
         "token",
         F.explode(F.array(F.col("block") - 1, F.col("block"))).alias("block"),
-        *(F.col(c).alias(f"{c}_b") for c in ("cid", "n", "pos", "component")),
+        *(F.col(c).alias(f"{c}_b") for c in ("cid", "n", "pos", "component", *MAP)),
+    )
+    alike = (100 * F.col("n") >= percent * F.col("n_b")) & ((F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("cid") < F.col("cid_b"))))
+    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in MAP), F.lit(0))
+    alike &= (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n_b"))
+    pairs = left.join(right, ["token", "block"]).where((F.col("component") != F.col("component_b")) & alike)
+    pairs = pairs.groupBy(F.col("cid").alias("ca"), F.col("cid_b").alias("cb")).agg(
+        F.count("*").alias("lists"),
+        *(F.first(c).alias(a) for c, a in (("n", "na"), ("n_b", "nb"))),
+        *(F.min(c).alias(a) for c, a in (("pos", "pa"), ("pos_b", "pb"))),
     )
-    rest = F.least(F.col("n") - F.col("pos"), F.col("n_b") - F.col("pos_b"))
-    reach = ((100 + percent) * rest >= percent * (F.col("n") + F.col("n_b"))) & (100 * F.col("n") >= percent * F.col("n_b"))
-    ordered = (F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("cid") < F.col("cid_b")))
-    pairs = left.join(right, ["token", "block"]).where((F.col("component") != F.col("component_b")) & ordered & reach)
-    pairs = pairs.select(F.col("cid").alias("ca"), F.col("cid_b").alias("cb")).distinct()
-    return _similar(materialize(pairs, "pairs"), texts, k, percent)
+    reach = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))  # shared shingles, from the first shared one on
+    pairs = pairs.where((F.col("lists") >= _least_lists(percent)) & ((100 + percent) * reach >= percent * (F.col("na") + F.col("nb"))))
+    return _similar(docs, classes, materialize(pairs.select("ca", "cb"), "pairs"), k, percent)
 
 
 def _labelled(hashed, classes, labels):
@@ -205,10 +233,8 @@ def _labelled(hashed, classes, labels):
 
 
 def drop_copies(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each group; rows with a null doc_id and repeated rows of one
-    doc_id go, as another row stands for them, unless a group has no doc_id at all, which keeps its rows."""
-    groups = join_groups(docs, k, percent)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, docs["doc_id"] == kept["_kept"]).dropDuplicates(["doc_id"]).drop("_kept")
-    nameless = groups.where("component_id IS NULL").limit(1)
-    return chosen.unionByName(docs.where("doc_id IS NULL").join(nameless.select(F.lit(1).alias("_any")), F.lit(True), "left_semi"))
+    """``docs`` with one row of each group, that of its smallest doc_id, once. Rows with a null doc_id all stay: no
+    decision can name them. Columns are those of ``docs``."""
+    kept = join_groups(docs, k, percent).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    chosen = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    return chosen.unionByName(docs.where("doc_id IS NULL"))
