@@ -71,7 +71,7 @@ def measure(text: str | None, lexicon: frozenset[str]) -> list[float]:
     at = [i for i, w in enumerate(words) if w in lexicon]
     near = 0.0
     for i in at:
-        around = [abs(i - j) for j in range(max(0, i - 8), min(len(words), i + 9)) if words[j] in SECOND_PERSON]
+        around = [abs(i - j) for j in range(max(0, i - 8), min(len(words), i + 9)) if j != i and words[j] in SECOND_PERSON]
         near = max(near, 1 / min(around)) if around else near
     masked = _masked_words(low)
     plain = [LETTERS.findall(m.translate(SIGNS)) for m in masked]
@@ -128,7 +128,7 @@ def _learned_words(rows: DataFrame) -> frozenset[str]:
         return frozenset()
     words = rows.select("text", "label").mapInArrow(_count_words, "word string, mild long, toxic long").groupBy("word").agg(F.sum("mild").alias("mild"), F.sum("toxic").alias("toxic"))
     marked = words.where((F.col("toxic") >= max(3, 0.08 * toxic)) & (F.col("toxic") / toxic >= 5 * (F.col("mild") + 0.5) / mild))
-    return frozenset(r.word for r in marked.collect())  # few: each is in 8 % of the toxic texts of a bounded sample
+    return frozenset(r.word for r in marked.collect()) - SECOND_PERSON  # few: each is in 8 % of the toxic texts of a bounded sample
 
 
 class Model:

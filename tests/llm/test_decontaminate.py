@@ -1,0 +1,43 @@
+import random
+
+import numpy as np
+from wording import edited, prose
+from kerbside.llm import decontaminate
+
+
+def slow_align(item, passage):
+    score = [[0] * (len(passage) + 1) for _ in range(len(item) + 1)]
+    for i, a in enumerate(item, 1):
+        for j, b in enumerate(passage, 1):
+            score[i][j] = max(0, score[i - 1][j - 1] + (2 if a == b else -1), score[i - 1][j] - 1, score[i][j - 1] - 1)
+    return max(map(max, score)) / (2 * len(item))
+
+
+def test_align_is_smith_waterman():
+    rng = random.Random(1)
+    for _ in range(60):
+        item = [rng.randrange(6) for _ in range(rng.randrange(1, 25))]
+        passage = [rng.randrange(6) for _ in range(rng.randrange(1, 40))]
+        got, equal, first, last = decontaminate.align(np.array(item, np.uint64), np.array(passage, np.uint64))
+        assert got == slow_align(item, passage)
+        assert equal <= min(len(item), last - first + 1)
+
+
+def test_find_leaks(spark):
+    rng = random.Random(3)
+    items = [(i, " ".join(f"{w}{rng.randrange(40)}" for w in prose(rng, 30).split())) for i in range(8)]
+    docs = [(100 + i, prose(rng, 200)) for i in range(30)]
+    docs += [(200 + i, prose(rng, 50) + " " + t + ". " + prose(rng, 50)) for i, t in items]
+    docs += [(300 + i, prose(rng, 50) + "\n" + edited(rng, t, 7).upper() + " " + prose(rng, 50)) for i, t in items]
+    docs += [(400, prose(rng, 3000) + " " + items[2][1] + " " + items[5][1]), (500, None), (501, ""), (None, items[0][1]), (502, " ".join(items[1][1].split()[:6]))]
+    docs += [docs[30]] + [(600 + i, items[4][1]) for i in range(200)]  # one item in most documents
+    frame = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame([*items, items[0], (None, "no id"), (9, None), (10, ""), (11, "two words")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(frame, bench).collect()}
+    want = {(base + i, i) for base in (200, 300) for i, _ in items} | {(400, 2), (400, 5), (None, 0)} | {(600 + i, 4) for i in range(200)}
+    assert set(got) == want
+    whole = got[200, 0]
+    assert whole.score == 1.0 and whole.matched == 30 and (whole.first_word, whole.last_word) == (50, 79)
+    kept = decontaminate.drop_leaks(frame, bench)
+    assert kept.columns == frame.columns
+    assert {r.doc_id for r in kept.collect()} == {None, 500, 501, 502} | {100 + i for i in range(30)}

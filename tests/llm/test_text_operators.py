@@ -1,0 +1,128 @@
+"""Operators on whole texts against brute force, with all edge rows of ``corpus``."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+from kerbside.llm import decontaminate, jaccard, quality, suffixes
+from pyspark.sql import functions as F
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def shingle_sets(corpus, k):
+    sets = []
+    for _, t, *_ in corpus:
+        w = WORD.findall((t or "").translate(LOWER))
+        sets.append({tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    return sets
+
+
+def groups(corpus, k, percent):
+    sets = shingle_sets(corpus, k)
+    parent = list(range(len(corpus)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            same_id = corpus[i][0] is not None and corpus[i][0] == corpus[j][0]
+            linked = both and 100 * both >= percent * len(a | sets[j])
+            if (linked and (a == sets[j] or None not in (corpus[i][0], corpus[j][0]))) or (linked and same_id):
+                parent[root(i)] = root(j)
+    members = defaultdict(list)
+    for i in range(len(corpus)):
+        members[root(i)].append(i)
+    named = {r: min((corpus[i][0] for i in m if corpus[i][0] is not None), default=None) for r, m in members.items()}
+    return [(corpus[i][0], len(sets[i]), named[root(i)]) for i in range(len(corpus))]
+
+
+def ordered(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+def test_join_groups(docs, corpus):
+    for k, percent in ((4, 85), (5, 80), (2, 60)):
+        assert ordered(jaccard.join_groups(docs, k, percent).collect()) == ordered(groups(corpus, k, percent))
+
+
+def test_drop_copies_keeps_one_of_each_group(docs, corpus):
+    kept = jaccard.drop_copies(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted({c for _, _, c in groups(corpus, 4, 85) if c is not None})
+    assert ids.count(None) == 3
+
+
+def test_empty_tables(nothing):
+    assert jaccard.join_groups(nothing).count() == 0
+    assert suffixes.remove_repeats(nothing).count() == 0
+    assert quality.judge(nothing, nothing.selectExpr("doc_id", "1 AS quality")).count() == 0
+    assert decontaminate.find_leaks(nothing, nothing.selectExpr("doc_id AS item_id", "text")).count() == 0
+
+
+def removed(corpus, length):
+    by_id = sorted(corpus, key=lambda r: (r[0] is None, r[0] or 0))
+    seen, out, waiting, last = set(), [], set(), object()
+    for i, t, *_ in by_id:
+        if i != last:
+            seen |= waiting
+            waiting, last = set(), i
+        b = (t or "").encode()
+        starts = [b[j : j + length] for j in range(len(b) - length + 1)]
+        gone = bytearray(len(b))
+        for j, w in enumerate(starts):
+            if w in seen:
+                gone[j : j + length] = b"\1" * length
+        waiting.update(starts)
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        spans = sum(g and not (j and gone[j - 1]) for j, g in enumerate(gone))
+        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_remove_repeats(docs, corpus):
+    for bucket in (suffixes.BUCKET, 20_000):
+        got = suffixes.remove_repeats(docs, bucket=bucket).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+        assert ordered(got.collect()) == ordered(removed(corpus, 50))
+
+
+def test_remove_repeats_of_other_lengths(docs, corpus):
+    got = suffixes.remove_repeats(docs, length=12, key=5).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert ordered(got.collect()) == ordered(removed(corpus, 12))
+
+
+def test_quality_counts(docs, corpus, spark):
+    want = []
+    for i, t, *_ in corpus:
+        t = t or ""
+        w = WORD.findall(t)
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        windows = Counter(tuple(w[j : j + 8]) for j in range(len(w) - 7))
+        again = set()
+        for j in range(len(w) - 7):
+            if windows[tuple(w[j : j + 8])] > 1:
+                again.update(range(j, j + 8))
+        failed = len(w) < 20 or 100 * len(again) > 30 * len(w)
+        want.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again), failed))
+    labels = spark.createDataFrame([(i, 1) for i, *_ in corpus[5:40]] + [(None, 1), (7, None)], "doc_id long, quality int")
+    got = quality.judge(docs, labels)
+    assert ordered(got.drop("kept", "score").collect()) == ordered(want)
+    assert got.where("kept AND base_failed").count() == 0
+    unlabelled = quality.judge(docs, labels.where("false"))
+    assert unlabelled.where("kept = base_failed").count() == 0
+
+
+def test_quality_rejects_junk(spark):
+    good = [(i, " ".join(f"word{(i * 7 + j * j) % 90}" for j in range(60))) for i in range(100)]
+    junk = [(1000 + i, " ".join(f"zx{(i * 31 + j) % 997}### $$q{j * i % 991}" for j in range(60))) for i in range(20)]
+    docs = spark.createDataFrame(good + junk, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good[:40]], "doc_id long, quality int")
+    rows = {r.doc_id: r.kept for r in quality.judge(docs, labels).collect()}
+    assert not any(rows[i] for i, _ in junk)
+    assert sum(rows[i] for i, _ in good) >= 95
