@@ -62,17 +62,16 @@ def silver(spark, args):
                 args.by_day,
             )
         )
-        if args.rejects:
-            queries.append(
-                layers.start_rejects(
-                    _messages(spark, args, feed),
-                    schema,
-                    f"{args.rejects}/{feed}",
-                    f"{args.checkpoint}/rejects_{feed}",
-                    ONCE if args.once else args.rejects_every,
-                    f"rejects_{feed}",
-                )
+        queries.append(
+            layers.start_rejects(
+                _messages(spark, args, feed),
+                schema,
+                f"{args.rejects or args.output + '_rejects'}/{feed}",
+                f"{args.checkpoint}/rejects_{feed}",
+                ONCE if args.once else args.rejects_every,
+                f"rejects_{feed}",
             )
+        )
     return queries
 
 
@@ -87,7 +86,7 @@ def run_gold(spark, args):
     if args.store:
         sink = gold.store_sink(args.store, **_options(args.store_option))
     else:
-        sink = gold.table_sink(args.serving, args.run_id)
+        sink = gold.table_sink(args.serving)
     return [gold.start_gold(rows, sink, args.checkpoint, args.model, _every(args), "gold")]
 
 
@@ -106,30 +105,39 @@ def train(spark, args):
     return model
 
 
-def series(spark, args):
-    rows = serving.district_series(serving.read_log(spark, args.serving), args.district)
-    rows.show(args.rows, truncate=False)
+def _result(rows, args):
+    """The whole result, written by the executors, or a preview of its first rows."""
+    if args.output:
+        rows.write.format(args.format).mode("overwrite").save(args.output)
+    else:
+        print(f"First {args.rows} rows; --output writes all.")
+        rows.show(args.rows, truncate=False)
     return rows
 
 
+def series(spark, args):
+    batches = serving.read_log(spark, args.serving, args.district)
+    return _result(serving.district_series(batches, args.district, args.since), args)
+
+
 def query(spark, args):
     history.register(spark, {feed: f"{args.silver}/{feed}" for feed in FEEDS})
-    rows = spark.sql(args.sql)
-    rows.show(args.rows, truncate=False)
-    return rows
+    return _result(spark.sql(args.sql), args)
 
 
 def pack(spark, args):
     for feed in FEEDS:
         rows = read_silver(spark, f"{args.silver}/{feed}", feed)
         if args.before:
-            rows = rows.where(F.col("event_time") < F.lit(args.before).cast("timestamp"))
+            early = F.col("event_time") < F.lit(args.before).cast("timestamp")
+            # Rows without a time belong to no later day either.
+            rows = rows.where(early | F.col("event_time").isNull())
         packed = layer_ops.pack(rows, args.rows_per_file)
         packed.write.partitionBy("district").parquet(f"{args.output}/{feed}")
 
 
 def fold(spark, args):
-    serving.fold(spark, args.serving, args.output, args.run_id)
+    serving.fold(spark, args.serving, args.before)
 
 
 def _stream_arguments(parser, every):
@@ -144,6 +152,12 @@ def _stream_arguments(parser, every):
     parser.add_argument("--once", action="store_true")
 
 
+def _result_arguments(parser):
+    parser.add_argument("--output", help="folder for the whole result")
+    parser.add_argument("--format", default="parquet")
+    parser.add_argument("--rows", type=int, default=20, help="rows to print without --output")
+
+
 def _parser():
     parser = argparse.ArgumentParser(prog="kerbside")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -156,7 +170,7 @@ def _parser():
     job = jobs.add_parser("silver", help="clean and type messages, by district")
     _stream_arguments(job, "10 seconds")
     job.add_argument("--output", required=True)
-    job.add_argument("--rejects", help="folder for unreadable messages")
+    job.add_argument("--rejects", help="folder for unreadable messages (default: OUTPUT_rejects)")
     job.add_argument("--rejects-every", default="10 minutes")
     job.add_argument("--by-day", action="store_true")
     job.set_defaults(run=silver, streaming=True)
@@ -171,7 +185,6 @@ def _parser():
     sink.add_argument("--serving", help="folder of the serving table")
     sink.add_argument("--store", help="format of an external keyed store")
     job.add_argument("--store-option", action="append", default=[], metavar="KEY=VALUE")
-    job.add_argument("--run-id", type=int, default=0, help="one more on every new checkpoint")
     job.set_defaults(run=run_gold, streaming=True)
 
     job = jobs.add_parser("train", help="fit the PM2.5 model on cleaned history")
@@ -185,13 +198,14 @@ def _parser():
     job = jobs.add_parser("series", help="observed and predicted PM2.5 of a district")
     job.add_argument("--serving", required=True)
     job.add_argument("--district", required=True)
-    job.add_argument("--rows", type=int, default=20, help="rows to print")
+    job.add_argument("--since", help="first UTC day (yyyy-MM-dd)")
+    _result_arguments(job)
     job.set_defaults(run=series, streaming=False)
 
     job = jobs.add_parser("history", help="SQL over silver_traffic and silver_pollution")
     job.add_argument("--silver", required=True)
     job.add_argument("--sql", required=True)
-    job.add_argument("--rows", type=int, default=20, help="rows to print")
+    _result_arguments(job)
     job.set_defaults(run=query, streaming=False)
 
     job = jobs.add_parser("pack", help="rewrite cleaned history into larger files")
@@ -201,10 +215,9 @@ def _parser():
     job.add_argument("--rows-per-file", type=int, default=5_000_000)
     job.set_defaults(run=pack, streaming=False)
 
-    job = jobs.add_parser("fold", help="rewrite the serving table's current rows as one batch")
+    job = jobs.add_parser("fold", help="gather closed days of the serving table into its base")
     job.add_argument("--serving", required=True)
-    job.add_argument("--output", required=True)
-    job.add_argument("--run-id", type=int, default=0)
+    job.add_argument("--before", help="only windows before this UTC day (yyyy-MM-dd)")
     job.set_defaults(run=fold, streaming=False)
     return parser
 

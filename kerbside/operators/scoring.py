@@ -1,7 +1,15 @@
-"""Saving, loading and applying the PM2.5 model."""
+"""Saving, loading and applying the PM2.5 model.
+
+A model's folder holds one folder for each version ever saved and pointers to them. A pointer is
+written last, in one step, so what it names is complete, and a version is never changed.
+"""
+
+import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.rules import alert_predicted
@@ -10,16 +18,27 @@ TO_MODEL = {"avg_speed": "speed_kmh", "max_density": "vehicle_count"}
 FROM_MODEL = {name: kpi for kpi, name in TO_MODEL.items()}
 
 
+POINTER = "saved_ns long, version string"
+
+
 def save(model, path):
-    """Replace the model at ``path``."""
-    model.write().overwrite().save(path)
+    """Add a version to the model at ``path`` and point to it. Until then the one before stays in use."""
+    version = uuid.uuid4().hex
+    model.write().save(f"{path}/versions/{version}")
+    point_to(path, version)
+
+
+def point_to(path, version):
+    spark = SparkSession.getActiveSession()
+    row = spark.createDataFrame([(time.time_ns(), version)], POINTER).coalesce(1)
+    row.write.mode("append").json(f"{path}/pointers")
 
 
 class LatestModel:
-    """The model at a path, read again only when it was replaced.
+    """The model at a path, read again only when another version is pointed to.
 
-    ``get`` returns None while there is none, and the last good one while a new one is being
-    written. Other failures are raised.
+    ``get`` returns None while there is none, and the last one published while another is being
+    written, also in a process that starts meanwhile. Failures are raised.
     """
 
     def __init__(self, spark, path):
@@ -29,27 +48,21 @@ class LatestModel:
         self.model = None
 
     def _version(self):
-        """Name and time of the file a save writes last: there only once the save is complete."""
-        files = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-        )
+        """The version pointed to last: one small row for each save."""
         try:
-            return files.load(f"{self.path}/stages").select("path", "modificationTime").first()
+            pointers = self.spark.read.schema(POINTER).json(f"{self.path}/pointers")
+            newest = pointers.agg(F.max(F.struct("saved_ns", "version"))["version"]).first()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
+        return newest[0]
 
     def get(self):
         version = self._version()
         if version is not None and version != self.version:
-            try:
-                self.model, self.version = PipelineModel.load(self.path), version
-            except Exception:
-                if self._version() == version:
-                    raise  # not replaced meanwhile, so the model itself is at fault
+            self.model = PipelineModel.load(f"{self.path}/versions/{version}")
+            self.version = version
         return self.model
 
 

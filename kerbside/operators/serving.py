@@ -1,46 +1,63 @@
 """The serving table: the last written row per (district, window_end).
 
-Batches are written side by side under ``run_id=R/batch_id=N/district=D`` and readers take
-the highest (run, batch) per key. A replayed batch replaces its own folder, so it changes
-nothing. ``run_id`` goes up by one whenever a job starts on a new checkpoint, as batch
-numbers then begin at zero again.
+``rows/district=D/window_date=Y/run_id=R/batch_id=N`` has the batches as written; a replayed
+batch replaces its own folders, so it changes nothing. ``base/district=D/window_date=Y`` has
+one row per key, of days that ``fold`` has closed. Readers take the highest (run, batch) per
+key of both. ``runs`` gives each writing checkpoint a run of its own.
 """
 
 import logging
+import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from kerbside import schemas
+from kerbside.session import workspace
 
 log = logging.getLogger(__name__)
 
 ROWS_PER_FILE = 1_000_000
 WRITE_ORDER = ["run_id", "batch_id"]
+DAY = "window_date"
+BASE_FOLDERS = ["district", DAY]
+FOLDERS = [*BASE_FOLDERS, *WRITE_ORDER]
+RUNS = "run_id long, writer string"
 
 
 def serving_rows(scored):
-    """The seven stored columns. The key must be whole, so rows without a district stay out."""
-    return scored.where(F.col("district").isNotNull()).select(*schemas.SERVING.names)
+    """The stored columns. The key must be whole, so rows without a district stay out."""
+    rows = scored.where(F.col("district").isNotNull())
+    if "alert_predicted" not in rows.columns:
+        rows = rows.withColumn("alert_predicted", F.lit(None).cast("string"))
+    return rows.select(*schemas.SERVING.names)
 
 
-def upsert_batch(rows, batch_id, path, run_id=0):
-    """Write one batch, newest window first within a district."""
-    rows = serving_rows(rows).persist(StorageLevel.MEMORY_AND_DISK)
+def _spread(rows, count, rows_per_file, folders):
+    """Files of similar size, cut by time within a district too, newest window first."""
+    newest = F.col("window_end").desc()
+    ranged = rows.repartitionByRange(1 + count // rows_per_file, "district", newest)
+    return ranged.sortWithinPartitions(*folders, newest)
+
+
+def upsert_batch(rows, batch_id, path, run_id=0, rows_per_file=ROWS_PER_FILE):
+    """Write one batch; rows that the key keeps out are counted in the log."""
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        count = rows.count()
-        log.info("batch %s: %s rows", batch_id, count)
-        if count == 0:
+        count, keyed = rows.agg(F.count(F.lit(1)), F.count("district")).first()
+        log.info("batch %s: %s rows, %s left out without a district", batch_id, count, count - keyed)
+        if keyed == 0:
             return
-        order = [F.col("district"), F.col("window_end").desc()]
-        files = 1 + count // ROWS_PER_FILE
-        # Ranges are cut by time within a district too; a live batch fits one task as it is.
-        spread = rows.coalesce(1) if files == 1 else rows.repartitionByRange(files, *order)
+        placed = serving_rows(rows).withColumns(
+            {DAY: F.to_date("window_end"), "run_id": F.lit(run_id), "batch_id": F.lit(batch_id)}
+        )
         (
-            spread.sortWithinPartitions(*order)
+            _spread(placed, keyed, rows_per_file, FOLDERS)
             .write.mode("overwrite")
-            .partitionBy("district")
-            .parquet(f"{path}/run_id={run_id}/batch_id={batch_id}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*FOLDERS)
+            .parquet(f"{path}/rows")
         )
     finally:
         rows.unpersist()
@@ -48,33 +65,93 @@ def upsert_batch(rows, batch_id, path, run_id=0):
 
 def append_to_store(rows, batch_id, fmt, **options):
     """Append to an external keyed store, whose primary key makes this an upsert."""
-    serving_rows(rows).write.format(fmt).options(**options).mode("append").save()
+    rows = serving_rows(rows)
+    if not rows.isEmpty():
+        rows.write.format(fmt).options(**options).mode("append").save()
+
+
+def run_of(spark, path, writer):
+    """The run of a writer, named by its checkpoint's id: its own for good, above all earlier ones.
+
+    A new checkpoint counts its batches from zero again; in a run of its own these neither
+    replace nor lose to those of another.
+    """
+    known = _read_or_none(spark, f"{path}/runs", RUNS)
+    taken = {row.writer: row.run_id for row in known.collect()} if known else {}
+    if writer in taken:
+        return taken[writer]
+    run_id = 1 + max(taken.values(), default=-1)
+    row = spark.createDataFrame([(run_id, writer)], RUNS).coalesce(1)
+    row.write.mode("append").json(f"{path}/runs")
+    # Two writers that start at the same moment may have drawn the same number.
+    drawn = spark.read.schema(RUNS).json(f"{path}/runs").where(F.col("run_id") == run_id)
+    if drawn.count() > 1:
+        raise RuntimeError(f"another job has just taken run {run_id} of {path}")
+    return run_id
+
+
+def _read_or_none(spark, path, schema):
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _escaped(value):
+    """A partition value as Spark writes it in a folder's name."""
+    return re.sub(r'[\x01-\x1f"#%\'*/:=?\\\x7f{}\[\]^]', lambda m: f"%{ord(m[0]):02X}", value)
+
+
+def _part(spark, path, part, district):
+    folder = f"{path}/{part}"
+    own = folder if district is None else f"{folder}/district={_escaped(district)}"
+    reader = spark.read.schema(schemas.SERVING_LOG).option("basePath", folder)
+    try:
+        rows = reader.parquet(own)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schemas.SERVING_LOG)
+    return rows.select(*schemas.SERVING_LOG.names, F.lit(part).alias("part"))
+
 
+def read_log(spark, path, district=None):
+    """All rows as written; none where nothing was. Columns added later are null in older files.
 
-def read_log(spark, path):
-    """All batches as written. Columns added later are null in older files."""
-    return spark.read.schema(schemas.SERVING_LOG).parquet(path)
+    With a ``district`` only its folders are listed.
+    """
+    return _part(spark, path, "rows", district).union(_part(spark, path, "base", district))
 
 
 def latest(batches):
-    """Last write wins. An aggregate, so copies of a key are folded before the exchange."""
-    values = [c for c in batches.columns if c not in (*schemas.SERVING_KEY, *WRITE_ORDER)]
-    return (
-        batches.groupBy(schemas.SERVING_KEY)
+    """Last write wins. Rows of the base that no later batch has touched are passed as they are."""
+    values = [c for c in batches.columns if c not in (*schemas.SERVING_KEY, "part", *WRITE_ORDER)]
+    columns = [*schemas.SERVING_KEY, *values]
+    recent, base = batches.where("part = 'rows'"), batches.where("part = 'base'")
+    touched = recent.select(*schemas.SERVING_KEY).distinct()
+    contested = recent.union(base.join(touched, schemas.SERVING_KEY, "left_semi").select(*batches.columns))
+    won = (
+        contested.groupBy(schemas.SERVING_KEY)
         .agg(F.max_by(F.struct(*values), F.struct(*WRITE_ORDER)).alias("row"))
         .select(*schemas.SERVING_KEY, "row.*")
     )
+    rest = base.join(touched, schemas.SERVING_KEY, "left_anti").select(*columns)
+    return won.select(*columns).union(rest).drop(DAY)
 
 
-def district_series(batches, district):
-    """Observed and predicted PM2.5 of one district, newest first.
+def district_series(batches, district, since=None):
+    """Observed and predicted PM2.5 of one district, newest first, from the day ``since`` on.
 
-    Reads the district's folders and these columns only.
+    Reads the district's folders of these days and these columns only.
     """
     columns = ["window_end", "avg_pm25", "predicted_pm25"]
     own = batches.where(F.col("district") == district)
+    if since is not None:
+        own = own.where(F.col(DAY) >= F.lit(since).cast("date"))
     return (
-        latest(own.select("district", *columns, *WRITE_ORDER))
+        latest(own.select("district", *columns, *WRITE_ORDER, "part"))
         .select(*columns)
         .orderBy(F.col("window_end").desc())
     )
@@ -84,10 +161,48 @@ def newest_first(rows):
     return rows.orderBy("district", F.col("window_end").desc())
 
 
-def fold(spark, path, target, run_id=0):
-    """Rewrite the table's current rows as one batch of a new table at ``target``.
+def fold(spark, path, before=None, rows_per_file=ROWS_PER_FILE):
+    """Gather the days before ``before`` (all without it) into the base, one row per key.
 
-    For a table whose batches have become many. Stop the job that writes it first, then
-    start it on a new checkpoint and ``target``, with the next ``run_id``.
+    The job that writes the table may go on meanwhile and keeps its checkpoint: what it writes
+    has a higher batch and wins, and only files that were gathered are removed, after the base
+    is in place. A reader started before the removal should be started again.
     """
-    upsert_batch(latest(read_log(spark, path)), 0, target, run_id)
+    recent, base = (_part(spark, path, part, None) for part in ("rows", "base"))
+    if before is not None:
+        recent = recent.where(F.col(DAY) < F.lit(before).cast("date"))
+    days = recent.select("district", DAY).distinct()
+    files = recent.inputFiles()
+    # Only days with something new are written again.
+    old = base.join(days, ["district", DAY], "left_semi").select(*recent.columns)
+    ordered = recent.union(old)
+    values = [c for c in schemas.SERVING_LOG.names if c not in schemas.SERVING_KEY]
+    rows = (
+        ordered.groupBy(schemas.SERVING_KEY)
+        .agg(F.max_by(F.struct(*values), F.struct(*WRITE_ORDER)).alias("row"))
+        .select(*schemas.SERVING_KEY, "row.*")
+    )
+    staged = workspace(spark, "fold")
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    count = rows.count()
+    if count == 0:
+        return
+    (
+        _spread(rows, count, rows_per_file, BASE_FOLDERS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*BASE_FOLDERS)
+        .parquet(f"{path}/base")
+    )
+    _remove(spark, files if before is None else _of_days_before(files, before))
+
+
+def _of_days_before(files, before):
+    return [f for f in files if re.search(rf"/{DAY}=([^/]+)/", f)[1] < before]
+
+
+def _remove(spark, files):
+    for file in files:
+        where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, False)

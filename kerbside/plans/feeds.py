@@ -37,6 +37,18 @@ def stream_events(spark, sf_dir):
     return use_utc(spark).readStream.schema(EVENTS).parquet(f"{sf_dir}/event[s].parquet")
 
 
+def instant():
+    return F.col("ts").cast("timestamp")
+
+
+def halves(spark, sf_dir):
+    """Events, and conditions for those up to the day in the middle and for the rest."""
+    events = read_events(spark, sf_dir)
+    middle = (F.unix_seconds(F.min(instant())) + F.unix_seconds(F.max(instant()))) / 2
+    cut = events.select(F.date_trunc("day", F.timestamp_seconds(middle)).alias("cut")).first().cut
+    return events, instant() < cut, instant() >= cut
+
+
 def of_feed(events, feed):
     traffic = F.col("event_type").isin(TRAFFIC_TYPES)
     return events.where(traffic if feed == "traffic" else ~traffic)

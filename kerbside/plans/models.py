@@ -52,6 +52,20 @@ def kpi_predicted(spark, sf_dir):
     events = feeds.read_events(spark, sf_dir)
     path = workspace(spark, "model")
     trained(spark, events, path)
+    return _predicted(spark, events, path)
+
+
+def kpi_predicted_high(spark, sf_dir):
+    """A city with three times the pollution, so that forecasts reach all alert levels."""
+    events = feeds.read_events(spark, sf_dir)
+    path = workspace(spark, "model")
+    traffic, pollution = [batch.silver(events, feed) for feed in streams.FEEDS]
+    worse = pollution.withColumn("pm25", F.col("pm25") * 3)
+    scoring.save(training.train_on_pairs(traffic, worse), path)
+    return _predicted(spark, events, path)
+
+
+def _predicted(spark, events, path):
     model = scoring.LatestModel(spark, path).get()
     scored = scoring.with_alert_predicted(scoring.score(batch.kpi(events, "1 hour"), model))
     return _rounded(
@@ -81,16 +95,18 @@ def _serving_log(spark, sf_dir):
     second = raised.withColumn("alert_level", alert_level(F.col("avg_pm25")))
     for batch_id, rows in ((0, first), (1, second), (0, first)):
         serving.upsert_batch(rows, batch_id, f"{path}/table")
-    return serving.read_log(spark, f"{path}/table")
+    return f"{path}/table"
 
 
 def serving_latest(spark, sf_dir):
-    rows = serving.newest_first(serving.latest(_serving_log(spark, sf_dir)))
+    batches = serving.read_log(spark, _serving_log(spark, sf_dir))
+    rows = serving.newest_first(serving.latest(batches))
     return rows.withColumn("window_end", batch.ntz("window_end"))
 
 
 def district_series(spark, sf_dir):
-    rows = serving.district_series(_serving_log(spark, sf_dir), "Centre")
+    batches = serving.read_log(spark, _serving_log(spark, sf_dir), "Centre")
+    rows = serving.district_series(batches, "Centre")
     return rows.withColumn("window_end", batch.ntz("window_end"))
 
 
@@ -108,15 +124,39 @@ def gold_serving(spark, sf_dir):
     return _served(spark, f"{root}/serving")
 
 
+def gold_new_checkpoint(spark, sf_dir):
+    """The gold job on one half of the events, then on the other with a checkpoint of its own.
+
+    Both count their batches from zero and write one serving table, which keeps both's windows.
+    """
+    events, *parts = feeds.halves(spark, sf_dir)
+    root = workspace(spark, "checkpoints")
+    for number, part in enumerate(parts):
+        for feed in streams.FEEDS:
+            feeds.messages(events.where(part), feed).write.parquet(f"{root}/{number}/{feed}")
+        sources = [read_message_files(spark, f"{root}/{number}/{feed}") for feed in streams.FEEDS]
+        sink = table_sink(f"{root}/serving")
+        kpi = windows(*sources, width="1 hour")
+        start_gold(kpi, sink, f"{root}/progress{number}", None, ONCE).awaitTermination()
+    return _served(spark, f"{root}/serving")
+
+
 def gold_two_runs(spark, sf_dir):
     """The gold job stopped and resumed, with the first model saved in between.
 
     The first run takes the events up to the day in the middle, the second the rest; windows
     closed by the first carry no prediction.
     """
-    events = feeds.read_events(spark, sf_dir)
-    middle = (F.unix_seconds(F.min(_instant())) + F.unix_seconds(F.max(_instant()))) / 2
-    cut = events.select(F.date_trunc("day", F.timestamp_seconds(middle)).alias("cut")).first().cut
+    return _two_runs(spark, sf_dir, lambda path: None)
+
+
+def serving_folded(spark, sf_dir):
+    """The same, with the table folded after each run; both runs are on one checkpoint."""
+    return _two_runs(spark, sf_dir, lambda path: serving.fold(spark, path))
+
+
+def _two_runs(spark, sf_dir, then):
+    events, early, late = feeds.halves(spark, sf_dir)
     root = workspace(spark, "runs")
 
     def run(part):
@@ -130,16 +170,14 @@ def gold_two_runs(spark, sf_dir):
         sink = table_sink(f"{root}/serving")
         start_gold(kpi, sink, f"{root}/progress", f"{root}/model", ONCE).awaitTermination()
 
-    run(_instant() < cut)
+    run(early)
+    then(f"{root}/serving")
     trained(spark, events, f"{root}/model")
-    run(_instant() >= cut)
+    run(late)
+    then(f"{root}/serving")
     return _served(spark, f"{root}/serving")
 
 
-def _instant():
-    return F.col("ts").cast("timestamp")
-
-
 def _served(spark, path):
     rows = serving.latest(serving.read_log(spark, path))
     return _rounded(rows.withColumn("window_end", batch.ntz("window_end")), "predicted_pm25")

@@ -52,8 +52,8 @@ def _watermark(newest):
 
 ONE_WATERMARK = f"(SELECT {_watermark('max(time)')} FROM unified)"
 TWO_WATERMARKS = f"""(SELECT {_watermark('least(t.newest, p.newest)')}
-    FROM (SELECT max(event_time) AS newest FROM traffic) t,
-         (SELECT max(event_time) AS newest FROM pollution) p)"""
+    FROM (SELECT max(time) AS newest FROM lagging WHERE event_type IN ({_names(TRAFFIC_TYPES)})) t,
+         (SELECT max(time) AS newest FROM lagging WHERE event_type NOT IN ({_names(TRAFFIC_TYPES)})) p)"""
 
 OVERDUE = "('error', 'signup')"
 IN_TIME = f"""
@@ -66,8 +66,8 @@ in_time AS (
 """
 
 MIDDLE = "make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2)"
-FIRST_RUN = f"""(SELECT {_watermark('max(time)')} FROM unified
-    WHERE time < (SELECT date_trunc('day', {MIDDLE}) FROM events))"""
+CUT = f"(SELECT date_trunc('day', {MIDDLE}) FROM events)"
+FIRST_RUN = f"(SELECT {_watermark('max(time)')} FROM unified WHERE time < {CUT})"
 
 PAIRS = """
 pairs AS (
@@ -101,6 +101,11 @@ SCORED = """
 scored AS (
     SELECT kpi.*, c0 + c1 * avg_speed + c2 * max_density AS predicted_pm25 FROM kpi, line)
 """
+ALERT = """CASE WHEN predicted_pm25 > 80 AND max_density > 40 THEN 'CRITIQUE'
+                WHEN predicted_pm25 > 50 THEN 'WARNING' ELSE 'NORMAL' END AS alert_predicted"""
+PREDICTED = f"""SELECT district, window_end, avg_pm25, round(predicted_pm25, 6) AS predicted_pm25,
+       alert_level, {ALERT} FROM scored"""
+HIGH_LINE = _ridge("pairs", "speed_kmh", "vehicle_count", "3 * pm25")
 LINE = """SELECT round(c1, 6) AS speed_coefficient, round(c2, 6) AS vehicle_coefficient,
        round(c0, 6) AS intercept FROM line"""
 
@@ -111,7 +116,8 @@ log AS (
     SELECT 1, district, window_end, avg_speed, max_density, avg_pm25 + 5 FROM kpi WHERE has_pm25),
 served AS (
     SELECT district, window_end, avg_speed, max_density, avg_pm25,
-           CAST(NULL AS DOUBLE) AS predicted_pm25, {LEVEL}
+           CAST(NULL AS DOUBLE) AS predicted_pm25, {LEVEL},
+           CAST(NULL AS VARCHAR) AS alert_predicted
     FROM (SELECT *, row_number() OVER (PARTITION BY district, window_end
                                        ORDER BY batch_id DESC) AS n FROM log)
     WHERE n = 1)
@@ -125,10 +131,12 @@ def _with(*parts, select):
     return f"WITH {', '.join(parts)} {select}"
 
 
-def _sensor_counts(feed):
+def _sensor_counts(feed, *fields):
+    line = f"concat_ws('|', sensor_id, district, {', '.join(fields)}, {STAMP.format('event_time')})"
     return f"""SELECT '{feed}' AS feed, sensor_id, count(*) AS messages, count(*) AS dated,
                {STAMP.format('min(event_time)')} AS first_timestamp,
-               {STAMP.format('max(event_time)')} AS last_timestamp
+               {STAMP.format('max(event_time)')} AS last_timestamp,
+               md5(string_agg({line}, chr(10) ORDER BY {line})) AS payloads
         FROM {feed} GROUP BY ALL"""
 
 
@@ -136,11 +144,32 @@ def sql():
     hourly = (FEEDS, _kpi("1 hour"))
     pollution_rows = "SELECT sensor_id, pm25, co2, event_time, district FROM pollution"
     closed = f"SELECT {KPI_COLUMNS} FROM kpi WHERE window_end <= {ONE_WATERMARK}"
+    two_runs = _with(
+        *hourly,
+        PAIRS,
+        PAIR_LINE,
+        SCORED,
+        f"""told AS (SELECT * REPLACE (CASE WHEN window_end > {FIRST_RUN}
+                                            THEN predicted_pm25 END AS predicted_pm25) FROM scored)""",
+        select=f"""SELECT district, window_end, avg_speed, max_density, avg_pm25,
+                          round(predicted_pm25, 6) AS predicted_pm25, alert_level, {ALERT}
+                   FROM told
+                   WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}""",
+    )
     return {
         "bronze_ingest": _with(
-            FEEDS, select=f"{_sensor_counts('traffic')} UNION ALL {_sensor_counts('pollution')}"
+            FEEDS,
+            select=f"""{_sensor_counts('traffic', 'speed_kmh', 'vehicle_count')}
+                       UNION ALL {_sensor_counts('pollution', 'pm25', 'co2')}""",
+        ),
+        "silver_from_bronze": _with(
+            FEEDS,
+            select="""SELECT sensor_id, lat, lon, speed_kmh, vehicle_count, event_time, district,
+                             CAST(NULL AS INT) AS pm25, CAST(NULL AS INT) AS co2 FROM traffic
+                      UNION ALL
+                      SELECT sensor_id, NULL, NULL, NULL, NULL, event_time, district, pm25, co2
+                      FROM pollution""",
         ),
-        "silver_from_bronze": _with(FEEDS, select=pollution_rows),
         "silver_traffic": _with(
             FEEDS,
             select="""SELECT sensor_id, lat, lon, speed_kmh, vehicle_count, event_time, district
@@ -183,7 +212,11 @@ def sql():
         "kpi_stream_1m": _with(FEEDS, _kpi("1 minute"), select=closed),
         "kpi_stream_1h": _with(*hourly, select=closed),
         "kpi_stream_two_watermarks": _with(
-            *hourly, select=f"SELECT {KPI_COLUMNS} FROM kpi WHERE window_end <= {TWO_WATERMARKS}"
+            FEEDS,
+            f"""lagging AS (SELECT * FROM unified
+                            WHERE event_type IN ({_names(TRAFFIC_TYPES)}) OR time < {CUT})""",
+            _kpi("1 hour", "lagging"),
+            select=f"SELECT {KPI_COLUMNS} FROM kpi WHERE window_end <= {TWO_WATERMARKS}",
         ),
         "kpi_stream_late": _with(FEEDS, IN_TIME, _kpi("1 hour", "in_time"), select=closed),
         "alert_summary": _with(
@@ -207,18 +240,8 @@ def sql():
             _ridge("complete", "avg_speed", "max_density", "avg_pm25"),
             select=LINE,
         ),
-        "kpi_predicted": _with(
-            *hourly,
-            PAIRS,
-            PAIR_LINE,
-            SCORED,
-            select="""SELECT district, window_end, avg_pm25,
-                             round(predicted_pm25, 6) AS predicted_pm25, alert_level,
-                             CASE WHEN predicted_pm25 > 80 AND max_density > 40 THEN 'CRITIQUE'
-                                  WHEN predicted_pm25 > 50 THEN 'WARNING'
-                                  ELSE 'NORMAL' END AS alert_predicted
-                      FROM scored""",
-        ),
+        "kpi_predicted": _with(*hourly, PAIRS, PAIR_LINE, SCORED, select=PREDICTED),
+        "kpi_predicted_high": _with(*hourly, PAIRS, HIGH_LINE, SCORED, select=PREDICTED),
         "serving_latest": _with(
             *hourly, SERVED, select="SELECT * FROM served ORDER BY district, window_end DESC"
         ),
@@ -234,20 +257,20 @@ def sql():
             PAIR_LINE,
             SCORED,
             select=f"""SELECT district, window_end, avg_speed, max_density, avg_pm25,
-                              round(predicted_pm25, 6) AS predicted_pm25, alert_level
+                              round(predicted_pm25, 6) AS predicted_pm25, alert_level, {ALERT}
                        FROM scored
                        WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}""",
         ),
-        "gold_two_runs": _with(
+        "gold_two_runs": two_runs,
+        "serving_folded": two_runs,
+        "gold_new_checkpoint": _with(
             *hourly,
-            PAIRS,
-            PAIR_LINE,
-            SCORED,
             select=f"""SELECT district, window_end, avg_speed, max_density, avg_pm25,
-                              CASE WHEN window_end > {FIRST_RUN}
-                                   THEN round(predicted_pm25, 6) END AS predicted_pm25, alert_level
-                       FROM scored
-                       WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}""",
+                              CAST(NULL AS DOUBLE) AS predicted_pm25, alert_level,
+                              'NORMAL' AS alert_predicted
+                       FROM kpi
+                       WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}
+                         AND (window_end <= {FIRST_RUN} OR window_end > {CUT})""",
         ),
         "history_sql": _with(
             FEEDS,

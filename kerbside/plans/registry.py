@@ -15,16 +15,19 @@ QUERIES = {
     "kpi_1h": batch.kpi_query("1 hour"),
     "kpi_stream_1m": streams.kpi_stream_query("1 minute"),
     "kpi_stream_1h": streams.kpi_stream_query("1 hour"),
-    "kpi_stream_two_watermarks": streams.kpi_stream_query("1 hour", per_feed=True),
+    "kpi_stream_two_watermarks": streams.kpi_stream_two_watermarks,
     "kpi_stream_late": streams.kpi_stream_late,
     "alert_summary": batch.alert_summary,
     "training_pairs": batch.training_pairs,
     "model_coefficients": models.model_coefficients,
     "model_window_coefficients": models.model_window_coefficients,
     "kpi_predicted": models.kpi_predicted,
+    "kpi_predicted_high": models.kpi_predicted_high,
     "serving_latest": models.serving_latest,
     "district_series": models.district_series,
     "gold_serving": models.gold_serving,
     "gold_two_runs": models.gold_two_runs,
+    "gold_new_checkpoint": models.gold_new_checkpoint,
+    "serving_folded": models.serving_folded,
     "history_sql": streams.history_sql,
 }

@@ -14,6 +14,11 @@ from kerbside.streaming.layers import start_bronze, start_rejects, start_silver
 from kerbside.streaming.triggers import ONCE, wait
 
 FEEDS = list(schemas.PAYLOADS)
+# Payload fields whose text is the same in every JSON writer.
+FIELDS = {
+    "traffic": ["sensor_id", "district", "speed_kmh", "vehicle_count", "timestamp"],
+    "pollution": ["sensor_id", "district", "pm25", "co2", "timestamp"],
+}
 
 
 def streamed_messages(spark, sf_dir, feed):
@@ -56,7 +61,7 @@ def run_silver(spark, sf_dir, wanted=FEEDS):
 
 
 def bronze_ingest(spark, sf_dir):
-    """Messages per feed and sensor, counted in the bronze datasets as stored."""
+    """Messages per feed and sensor in the bronze datasets as stored, with a digest of what they say."""
     paths = run_bronze(spark, sf_dir)
 
     def side(feed):
@@ -64,17 +69,17 @@ def bronze_ingest(spark, sf_dir):
             read_bronze(spark, paths[feed])
             .select(
                 F.lit(feed).alias("feed"),
-                F.json_tuple("json_payload", "sensor_id", "timestamp").alias(
-                    "sensor_id", "timestamp"
-                ),
+                F.json_tuple("json_payload", *FIELDS[feed]).alias(*FIELDS[feed]),
                 (F.to_date("ingestion_time") == F.to_date("ingestion_date")).alias("dated"),
             )
+            .withColumn("line", F.concat_ws("|", *FIELDS[feed]))
             .groupBy("feed", "sensor_id")
             .agg(
                 F.count(F.lit(1)).alias("messages"),
                 F.count_if("dated").alias("dated"),
                 F.min("timestamp").alias("first_timestamp"),
                 F.max("timestamp").alias("last_timestamp"),
+                F.md5(F.array_join(F.array_sort(F.collect_list("line")), "\n")).alias("payloads"),
             )
         )
 
@@ -82,12 +87,15 @@ def bronze_ingest(spark, sf_dir):
 
 
 def silver_from_bronze(spark, sf_dir):
-    """The cleaned pollution feed rebuilt from its stored raw payloads."""
+    """Both cleaned feeds rebuilt from their stored raw payloads."""
     paths = run_bronze(spark, sf_dir)
-    rows = layers.to_silver(
-        bronze_messages(read_bronze(spark, paths["pollution"])), schemas.POLLUTION
-    )
-    return rows.select("sensor_id", "pm25", "co2", ntz("event_time"), "district")
+
+    def side(feed):
+        messages = bronze_messages(read_bronze(spark, paths[feed]))
+        rows = layers.to_silver(messages, schemas.PAYLOADS[feed])
+        return rows.withColumn("event_time", ntz("event_time"))
+
+    return side("traffic").unionByName(side("pollution"), allowMissingColumns=True)
 
 
 def silver_query(feed):
@@ -125,13 +133,23 @@ def _closed_windows(spark, kpi):
     return kpi_columns(spark.read.schema(WINDOWS).parquet(f"{root}/rows"))
 
 
-def stream_kpis(spark, sf_dir, width, per_feed=False):
-    sides = [streamed_messages(spark, sf_dir, feed) for feed in FEEDS]
-    return windows(*sides, width=width, per_feed=per_feed)
+def stream_kpis(spark, sf_dir, width):
+    return windows(*[streamed_messages(spark, sf_dir, feed) for feed in FEEDS], width=width)
+
+
+def kpi_stream_query(width):
+    return lambda spark, sf_dir: _closed_windows(spark, stream_kpis(spark, sf_dir, width))
 
 
-def kpi_stream_query(width, per_feed=False):
-    return lambda spark, sf_dir: _closed_windows(spark, stream_kpis(spark, sf_dir, width, per_feed))
+def kpi_stream_two_watermarks(spark, sf_dir):
+    """Windows wait for the slower feed: pollution ends on the day in the middle, traffic goes on."""
+    _, early, _ = feeds.halves(spark, sf_dir)
+    events = feeds.stream_events(spark, sf_dir)
+    sides = [
+        feeds.messages(events, "traffic"),
+        feeds.messages(events.where(early), "pollution"),
+    ]
+    return _closed_windows(spark, windows(*sides, width="1 hour", per_feed=True))
 
 
 def kpi_stream_late(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Relation schemas. Sources are always read with these; nothing is inferred."""
 
 from pyspark.sql.types import (
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -73,9 +74,14 @@ SERVING = _struct(
     avg_pm25=DoubleType,
     predicted_pm25=DoubleType,
     alert_level=StringType,
+    alert_predicted=StringType,
 )
 SERVING_KEY = ["district", "window_end"]
 SERVING_LOG = StructType(
     SERVING.fields
-    + [StructField("run_id", LongType(), True), StructField("batch_id", LongType(), True)]
+    + [
+        StructField("window_date", DateType(), True),
+        StructField("run_id", LongType(), True),
+        StructField("batch_id", LongType(), True),
+    ]
 )

@@ -4,6 +4,8 @@ Jobs take the session they are given. ``build`` is for entry points that own the
 it never names a master, so spark-submit decides where the work runs.
 """
 
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -49,16 +51,34 @@ def use_state_settings(spark):
             spark.conf.set(key, value)
 
 
-def workspace(spark, label):
-    """A fresh folder under the cluster's shared checkpoint folder.
+_local_folder = None
+
 
-    Without one, a local temporary folder does for a local session; on a cluster it would
-    be visible to one machine only, so that is refused.
+def shared_folder(spark):
+    """The folder in ``spark.checkpoint.dir``; where it is unset, one of this process.
+
+    A local folder does for a session whose executors are in this process; on a cluster, of
+    one machine or more, it would be visible to one process only, so that is refused.
     """
+    global _local_folder
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="kerbside-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if shared:
+        return shared.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="kerbside-")
+    return _local_folder
+
+
+def workspace(spark, label):
+    """A fresh folder for intermediate tables, which ``remove_local_folder`` or the cluster's owner clears."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_local_folder():
+    """Remove this process' own folder, if it made one, with all work folders in it."""
+    global _local_folder
+    if _local_folder is not None:
+        shutil.rmtree(_local_folder, ignore_errors=True)
+        _local_folder = None

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -8,6 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from differential import duck  # noqa: E402
+from kerbside.session import remove_local_folder  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -24,10 +24,9 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kerbside-tests-"))
     yield session
     session.stop()
+    remove_local_folder()
 
 
 @pytest.fixture

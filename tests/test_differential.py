@@ -4,10 +4,13 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from differential import compare, duck_rows, spark_rows
+from kerbside.plans import oracle, registry
 
 
 def test_every_query_has_sql():
-    assert spark_entry.queries().keys() == spark_entry.oracle_sql().keys()
+    assert registry.QUERIES.keys() == oracle.sql().keys()
+    assert registry.QUERIES.items() <= spark_entry.queries().items()
+    assert oracle.sql().items() <= spark_entry.oracle_sql().items()
 
 
 def test_entry_has_rows(spark):
@@ -16,7 +19,7 @@ def test_entry_has_rows(spark):
     assert not frame.isEmpty()
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_matches_sql(spark, db, sf_dir, name):
     got, want = compare(spark, db, sf_dir, name)
     assert got[0] == want[0]

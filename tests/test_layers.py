@@ -2,13 +2,15 @@
 
 import datetime
 import glob
+import os
 import threading
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import messages, pollution, send, stamp, traffic
-from kerbside import schemas
+from kerbside import schemas, session
 from kerbside.operators import history, layers
 from kerbside.session import workspace
 from kerbside.sources.datasets import bronze_messages, read_bronze, read_silver
@@ -203,10 +205,31 @@ def test_history_sql_prunes(spark, folder):
     assert "ReadSchema: struct<speed_kmh:int>" in plan
 
 
+class Session:
+    """As much of a session as the working folder asks for."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda name, default: folder or default)
+
+
 def test_workspace_is_shared_and_fresh(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace(spark, "x"), workspace(spark, "x")
-    assert first != second and first.startswith(shared)
+    assert first != second and first.startswith(session.shared_folder(spark))
+    cluster = Session("spark://host:7077", "hdfs://shared/work/")
+    assert workspace(cluster, "x").startswith("hdfs://shared/work/x-")
+
+
+def test_workspace_without_a_setting(monkeypatch):
+    monkeypatch.setattr(session, "_local_folder", None)
+    for master in ("local", "local[8]", "local[*]"):
+        assert os.path.isdir(os.path.dirname(workspace(Session(master), "x")))
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        with pytest.raises(RuntimeError):
+            workspace(Session(master), "x")
+    own = session._local_folder
+    session.remove_local_folder()
+    assert not os.path.exists(own)
 
 
 def test_stamp_helper():

@@ -16,7 +16,7 @@ def rows(spark, *values):
     """Serving rows of (district, minute, pm25)."""
     return spark.createDataFrame(
         [
-            (district, START + datetime.timedelta(minutes=minute), 40.0, 5, pm25, None, "NORMAL")
+            (district, START + datetime.timedelta(minutes=minute), 40.0, 5, pm25, None, "NORMAL", None)
             for district, minute, pm25 in values
         ],
         schemas.SERVING,
@@ -44,6 +44,7 @@ def test_last_write_wins_and_replays_change_nothing(spark, folder):
     serving.upsert_batch(first, 0, folder)
     assert current(spark, folder) == expected
     assert serving.read_log(spark, folder).count() == 5
+    assert serving.latest(serving.read_log(spark, f"{folder}/none")).count() == 0
 
 
 def test_a_null_overwrites_too(spark, folder):
@@ -60,16 +61,16 @@ def test_later_run_wins_over_higher_batch(spark, folder):
 
 def test_empty_batch_and_null_district_are_not_stored(spark, folder):
     serving.upsert_batch(rows(spark).limit(0), 0, folder)
-    assert glob.glob(f"{folder}/run_id=*") == []
+    assert glob.glob(f"{folder}/*") == []
     serving.upsert_batch(rows(spark, (None, 1, 10.0), ("Centre", 1, 11.0)), 1, folder)
     assert current(spark, folder) == {("Centre", 1): 11.0}
 
 
-def test_layout(spark, folder, monkeypatch):
-    monkeypatch.setattr(serving, "ROWS_PER_FILE", 10)
+def test_layout(spark, folder):
     batch = rows(spark, *[("Centre", minute, float(minute)) for minute in range(40)])
-    serving.upsert_batch(batch, 3, folder, run_id=2)
-    files = glob.glob(f"{folder}/run_id=2/batch_id=3/district=Centre/*.parquet")
+    serving.upsert_batch(batch, 3, folder, run_id=2, rows_per_file=10)
+    day = f"{folder}/rows/district=Centre/window_date=2024-01-01"
+    files = glob.glob(f"{day}/run_id=2/batch_id=3/*.parquet")
     assert len(files) > 1
     for file in files:
         minutes = [row.window_end for row in spark.read.parquet(file).collect()]
@@ -107,7 +108,10 @@ def test_order_of_the_whole_table(spark, folder):
 
 def test_files_from_before_a_column_was_added(spark, folder):
     old = rows(spark, ("Centre", 1, 10.0)).drop("predicted_pm25")
-    old.write.partitionBy("district").parquet(f"{folder}/run_id=0/batch_id=0")
+    old = old.drop("alert_predicted").withColumns(
+        {"window_date": F.to_date("window_end"), "run_id": F.lit(0), "batch_id": F.lit(0)}
+    )
+    old.write.partitionBy("district", "window_date", "run_id", "batch_id").parquet(f"{folder}/rows")
     newer = rows(spark, ("Nord", 1, 20.0)).withColumn("predicted_pm25", F.lit(33.0))
     serving.upsert_batch(newer, 1, folder)
     found = serving.latest(serving.read_log(spark, folder)).collect()
@@ -116,12 +120,35 @@ def test_files_from_before_a_column_was_added(spark, folder):
 
 def test_fold(spark, folder):
     for batch_id, value in enumerate((10.0, 11.0, 12.0)):
-        serving.upsert_batch(rows(spark, ("Centre", 1, value)), batch_id, f"{folder}/old")
-    serving.fold(spark, f"{folder}/old", f"{folder}/new")
-    assert current(spark, f"{folder}/new") == {("Centre", 1): 12.0}
-    assert serving.read_log(spark, f"{folder}/new").count() == 1
-    serving.upsert_batch(rows(spark, ("Centre", 1, 13.0)), 0, f"{folder}/new", run_id=1)
-    assert current(spark, f"{folder}/new") == {("Centre", 1): 13.0}
+        serving.upsert_batch(rows(spark, ("Centre", 1, value), ("Nord", 2, 5.0)), batch_id, folder)
+    serving.upsert_batch(rows(spark, ("Centre", 2 * 1440, 7.0)), 3, folder)
+    serving.fold(spark, folder, "2024-01-02")
+    parts = {r.part: r["count"] for r in serving.read_log(spark, folder).groupBy("part").count().collect()}
+    assert parts == {"base": 2, "rows": 1}
+    assert current(spark, folder) == {("Centre", 1): 12.0, ("Nord", 2): 5.0, ("Centre", 0): 7.0}
+    # A late replay loses to the base, the next batch wins; folding again takes both in.
+    serving.upsert_batch(rows(spark, ("Centre", 1, 10.0)), 0, folder)
+    assert current(spark, folder)["Centre", 1] == 12.0
+    serving.upsert_batch(rows(spark, ("Centre", 1, 13.0)), 4, folder)
+    assert current(spark, folder)["Centre", 1] == 13.0
+    serving.fold(spark, folder)
+    serving.fold(spark, folder)
+    assert current(spark, folder) == {("Centre", 1): 13.0, ("Nord", 2): 5.0, ("Centre", 0): 7.0}
+    assert serving.read_log(spark, folder).where("part = 'rows'").count() == 0
+    series = serving.district_series(serving.read_log(spark, folder, "Centre"), "Centre", "2024-01-02")
+    assert [row.avg_pm25 for row in series.collect()] == [7.0]
+
+
+def test_runs_belong_to_writers(spark, folder):
+    assert [serving.run_of(spark, folder, w) for w in ("a", "b", "a", "c", "b")] == [0, 1, 0, 2, 1]
+    assert serving.read_log(spark, folder).count() == 0
+
+
+def test_odd_district_names(spark, folder):
+    names = ["a/b", "x=1", "50%", "Über den Linden", "a:b"]
+    serving.upsert_batch(rows(spark, *[(name, 1, 1.0) for name in names]), 0, folder)
+    for name in names:
+        assert serving.read_log(spark, folder, name).count() == 1
 
 
 def test_external_store_gets_serving_rows(spark, folder):
@@ -129,6 +156,8 @@ def test_external_store_gets_serving_rows(spark, folder):
     serving.append_to_store(scored, 0, "json", path=f"{folder}/store")
     stored = spark.read.json(f"{folder}/store")
     assert stored.count() == 1
+    serving.append_to_store(scored.limit(0), 1, "json", path=f"{folder}/empty")
+    assert glob.glob(f"{folder}/empty") == []
     assert set(stored.columns) <= set(schemas.SERVING.names)
 
 
