@@ -5,30 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from functools import cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-@cache
-def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="llm-")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a folder of this machine, which only a local session can use."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return _own_dir()
+from kerbside.session import shared_folder
 
 
 def table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
