@@ -45,7 +45,7 @@ def test_surrogates(spark):
         3: "token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\" SSN 123-45-6789 IBAN DE89 3704 0044 0532 0130 00",
         4: "nothing here: 12 3.5 1.2.3 2024-01-01 john",
     }
-    rows = [*texts.items(), (5, None), (6, ""), (None, texts[1]), (1, texts[1]), (7, "x " * 50_000 + "call +1 (017) 555-7713")]
+    rows = [*texts.items(), (5, None), (6, ""), (None, texts[1]), (1, texts[1]), (7, "x " * 50_000 + "call +1 (017) 555-7713"), (8, "a" * 300_000 + "a." * 100_000)]
     docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, entities string")
     got = {}
     for r in surrogates.replace(docs).collect():
