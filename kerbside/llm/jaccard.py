@@ -154,6 +154,25 @@ def _least_lists(percent):
     return F.greatest(F.lit(1), shared - F.greatest(*rest))
 
 
+def _met(entries, classes, percent):
+    """Neighbours in an order of each list of its own, so that members of a large group meet many others, if maps allow.
+
+    Like the first neighbours these only make components early, which spares the second join; what is left out here (sets
+    of more than 3000 shingles, whose maps tell little) is found there.
+    """
+    shuffled = Window.partitionBy("token").orderBy(F.xxhash64("token", "cid"), "cid")
+    met = entries.select("cid", "n", F.lag("cid").over(shuffled).alias("other"), F.lag("n").over(shuffled).alias("n_other"))
+    met = met.where(f"cid <> other AND n <= 3000 AND 100 * least(n, n_other) >= {percent} * greatest(n, n_other)")
+    pairs = met.select(F.least("cid", "other").alias("ca"), F.greatest("cid", "other").alias("cb"), (F.col("n") + F.col("n_other")).alias("both")).distinct()
+    first = classes.select(F.col("cid").alias("ca"), *MAP)
+    second = classes.select(F.col("cid").alias("cb"), *(F.col(m).alias(f"{m}_b") for m in MAP))
+    return materialize(pairs, "met").join(first, "ca").join(second, "cb").where((100 + percent) * _differ() <= (100 - percent) * F.col("both")).select("ca", "cb")
+
+
+def _differ():
+    return sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in MAP), F.lit(0))
+
+
 def _similar(docs, classes, pairs, k, percent):
     """Links among the written ``pairs(ca, cb)`` of classes, as representatives' ids."""
     wanted = pairs.select(F.col("ca").alias("cid")).union(pairs.select("cb")).distinct().join(classes, "cid").where("rep IS NOT NULL")
@@ -187,7 +206,7 @@ def join_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
 
     near = entries.where(f"before <> cid AND 100 * n_before >= {percent} * n").groupBy(F.col("before").alias("ca"), F.col("cid").alias("cb"))
     near = near.agg(F.count("*").alias("lists"), F.first("n_before").alias("na"), F.first("n").alias("nb"))
-    near = near.where(4 * F.col("lists") >= _least_lists(percent)).select("ca", "cb")
+    near = near.where(4 * F.col("lists") >= _least_lists(percent)).select("ca", "cb").union(_met(entries, classes, percent)).distinct()
     links = materialize(_similar(docs, classes, materialize(near, "near"), k, percent), "links")
     first = graph.components(links)
 
@@ -211,8 +230,7 @@ def _across(docs, entries, classes, first, k, percent):
         *(F.col(c).alias(f"{c}_b") for c in ("cid", "n", "pos", "component", *MAP)),
     )
     alike = (100 * F.col("n") >= percent * F.col("n_b")) & ((F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("cid") < F.col("cid_b"))))
-    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in MAP), F.lit(0))
-    alike &= (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n_b"))
+    alike &= (100 + percent) * _differ() <= (100 - percent) * (F.col("n") + F.col("n_b"))
     pairs = left.join(right, ["token", "block"]).where((F.col("component") != F.col("component_b")) & alike)
     pairs = pairs.groupBy(F.col("cid").alias("ca"), F.col("cid_b").alias("cb")).agg(
         F.count("*").alias("lists"),
