@@ -26,6 +26,8 @@ EVENTS = StructType(
 # The districts, and the event types that stand for the traffic feed.
 DISTRICTS = ["Centre", "Nord", "Sud", "Est", "Ouest"]
 TRAFFIC_TYPES = ["view", "click", "error"]
+# In the feed with gaps, a field is missing where the event's number is divisible by this.
+GAPS = {"district": 7, "timestamp": 11, "speed_kmh": 5, "vehicle_count": 3, "pm25": 4}
 
 
 def read_events(spark, sf_dir):
@@ -97,5 +99,13 @@ def to_message(fields):
     return F.to_json(payload).cast("binary")
 
 
+def messages_with_gaps(events, feed):
+    fields = {
+        name: F.when(F.col("event_id") % GAPS[name] != 0, value) if name in GAPS else value
+        for name, value in payload_fields(feed).items()
+    }
+    return of_feed(events, feed).select(to_message(fields).alias("value"))
+
+
 def messages(events, feed):
     return of_feed(events, feed).select(to_message(payload_fields(feed)).alias("value"))

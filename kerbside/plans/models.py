@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from kerbside import schemas
 from kerbside.functions.rules import alert_level
-from kerbside.operators import scoring, serving, training
+from kerbside.operators import kpis as kpi_ops
+from kerbside.operators import layers, scoring, serving, training
 from kerbside.plans import batch, feeds, streams
 from kerbside.session import workspace
 from kerbside.sources.datasets import read_silver
@@ -155,7 +157,12 @@ def serving_folded(spark, sf_dir):
     return _two_runs(spark, sf_dir, lambda path: serving.fold(spark, path))
 
 
-def _two_runs(spark, sf_dir, then):
+def gold_retrained(spark, sf_dir):
+    """The same with a model from the start, replaced between the runs by one of all events."""
+    return _two_runs(spark, sf_dir, lambda path: None, first_model=True)
+
+
+def _two_runs(spark, sf_dir, then, first_model=False):
     events, early, late = feeds.halves(spark, sf_dir)
     root = workspace(spark, "runs")
 
@@ -170,6 +177,8 @@ def _two_runs(spark, sf_dir, then):
         sink = table_sink(f"{root}/serving")
         start_gold(kpi, sink, f"{root}/progress", f"{root}/model", ONCE).awaitTermination()
 
+    if first_model:
+        trained(spark, events.where(early), f"{root}/model")
     run(early)
     then(f"{root}/serving")
     trained(spark, events, f"{root}/model")
@@ -178,6 +187,21 @@ def _two_runs(spark, sf_dir, then):
     return _served(spark, f"{root}/serving")
 
 
+def gaps_served(spark, sf_dir):
+    """Feeds with missing districts, measures and times: trained on, scored and served."""
+    events = feeds.read_events(spark, sf_dir)
+    root = workspace(spark, "gaps")
+    sides = [
+        layers.to_silver(feeds.messages_with_gaps(events, feed), schema)
+        for feed, schema in schemas.PAYLOADS.items()
+    ]
+    scoring.save(training.train_on_pairs(*sides), f"{root}/model")
+    model = scoring.LatestModel(spark, f"{root}/model").get()
+    scored = scoring.score(kpi_ops.kpis(kpi_ops.unify(*sides), "1 hour"), model)
+    serving.upsert_batch(scoring.with_alert_predicted(scored), 0, f"{root}/serving")
+    return _served(spark, f"{root}/serving")
+
+
 def _served(spark, path):
     rows = serving.latest(serving.read_log(spark, path))
     return _rounded(rows.withColumn("window_end", batch.ntz("window_end")), "predicted_pm25")

@@ -1,27 +1,40 @@
 """The registered queries again as plain SQL for DuckDB."""
 
-from kerbside.plans.feeds import DISTRICTS, TRAFFIC_TYPES
+from kerbside.plans.feeds import DISTRICTS, GAPS, TRAFFIC_TYPES
 
 
 def _names(values):
     return ", ".join(f"'{value}'" for value in values)
 
 
-FEEDS = f"""
+def _whole(name, value):
+    return value
+
+
+def _gaps(name, value):
+    return f"CASE WHEN event_id % {GAPS[name]} <> 0 THEN {value} END"
+
+
+def _feeds(field=_whole):
+    return f"""
 base AS (
     SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k,
            ([{_names(DISTRICTS)}])[user_id % {len(DISTRICTS)} + 1] AS district
     FROM events),
 traffic AS (
-    SELECT event_id, event_type, value, 'cam_' || (user_id % 100) AS sensor_id, district,
+    SELECT event_id, event_type, value, 'cam_' || (user_id % 100) AS sensor_id,
+           {field("district", "district")} AS district,
            CAST(48.8 AS DOUBLE) + k / CAST(1000 AS DOUBLE) AS lat,
            CAST(2.3 AS DOUBLE) + k / CAST(1000 AS DOUBLE) AS lon,
-           CAST(floor(value) AS INT) % 130 AS speed_kmh, k % 50 AS vehicle_count,
-           ts AS event_time
+           {field("speed_kmh", "CAST(floor(value) AS INT) % 130")} AS speed_kmh,
+           {field("vehicle_count", "k % 50")} AS vehicle_count,
+           {field("timestamp", "ts")} AS event_time
     FROM base WHERE event_type IN ({_names(TRAFFIC_TYPES)})),
 pollution AS (
-    SELECT event_id, event_type, value, 'air_' || (user_id % 50) AS sensor_id, district,
-           CAST(floor(value) AS INT) % 100 AS pm25, 400 + k * 2 % 200 AS co2, ts AS event_time
+    SELECT event_id, event_type, value, 'air_' || (user_id % 50) AS sensor_id,
+           {field("district", "district")} AS district,
+           {field("pm25", "CAST(floor(value) AS INT) % 100")} AS pm25, 400 + k * 2 % 200 AS co2,
+           {field("timestamp", "ts")} AS event_time
     FROM base WHERE event_type NOT IN ({_names(TRAFFIC_TYPES)})),
 unified AS (
     SELECT event_type, district, event_time AS time, speed_kmh, vehicle_count AS density,
@@ -31,6 +44,8 @@ unified AS (
     SELECT event_type, district, event_time, NULL, NULL, pm25 FROM pollution)
 """
 
+
+FEEDS = _feeds()
 LEVEL = """CASE WHEN avg_pm25 > 80 THEN 'CRITIQUE' WHEN avg_pm25 > 50 THEN 'WARNING'
                 ELSE 'NORMAL' END AS alert_level"""
 
@@ -41,7 +56,7 @@ kpi AS (
     SELECT *, {LEVEL}, avg_pm25 IS NOT NULL AS has_pm25
     FROM (SELECT district, time_bucket(INTERVAL '{width}', time) + INTERVAL '{width}' AS window_end,
                  avg(speed_kmh) AS avg_speed, max(density) AS max_density, avg(pm25) AS avg_pm25
-          FROM {source} GROUP BY ALL))
+          FROM {source} WHERE time IS NOT NULL GROUP BY ALL))
 """
 
 
@@ -69,30 +84,35 @@ MIDDLE = "make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2)"
 CUT = f"(SELECT date_trunc('day', {MIDDLE}) FROM events)"
 FIRST_RUN = f"(SELECT {_watermark('max(time)')} FROM unified WHERE time < {CUT})"
 
-PAIRS = """
-pairs AS (
+
+def _pairs(name="pairs", condition="true"):
+    return f"""
+{name} AS (
     SELECT t.district, t.speed_kmh, t.vehicle_count, p.pm25
     FROM traffic t JOIN pollution p
       ON t.district = p.district
      AND date_trunc('hour', t.event_time) = date_trunc('hour', p.event_time)
-    WHERE t.speed_kmh IS NOT NULL AND t.vehicle_count IS NOT NULL AND p.pm25 IS NOT NULL)
+    WHERE t.speed_kmh IS NOT NULL AND t.vehicle_count IS NOT NULL AND p.pm25 IS NOT NULL
+      AND {condition})
 """
 
 
-def _ridge(source, x1, x2, y):
+PAIRS = _pairs()
+
+def _ridge(source, x1, x2, y, line="line"):
     """Ridge regression of two standardised features in closed form."""
     return f"""
-moments AS (
+{line}_moments AS (
     SELECT avg({x1}) AS m1, avg({x2}) AS m2, avg({y}) AS my,
            stddev_pop({x1}) AS s1, stddev_pop({x2}) AS s2, stddev_pop({y}) AS sy,
            corr({x1}, {x2}) AS r12, corr({x1}, {y}) AS r1, corr({x2}, {y}) AS r2,
            1 + 0.3 / stddev_pop({y}) AS a
     FROM {source}),
-slopes AS (
+{line}_slopes AS (
     SELECT *, (a * r1 - r12 * r2) / (a * a - r12 * r12) * sy / s1 AS c1,
            (a * r2 - r12 * r1) / (a * a - r12 * r12) * sy / s2 AS c2
-    FROM moments),
-line AS (SELECT c1, c2, my - c1 * m1 - c2 * m2 AS c0 FROM slopes)
+    FROM {line}_moments),
+{line} AS (SELECT c1, c2, my - c1 * m1 - c2 * m2 AS c0 FROM {line}_slopes)
 """
 
 
@@ -105,6 +125,8 @@ ALERT = """CASE WHEN predicted_pm25 > 80 AND max_density > 40 THEN 'CRITIQUE'
                 WHEN predicted_pm25 > 50 THEN 'WARNING' ELSE 'NORMAL' END AS alert_predicted"""
 PREDICTED = f"""SELECT district, window_end, avg_pm25, round(predicted_pm25, 6) AS predicted_pm25,
        alert_level, {ALERT} FROM scored"""
+SERVED_COLUMNS = f"""SELECT district, window_end, avg_speed, max_density, avg_pm25,
+       round(predicted_pm25, 6) AS predicted_pm25, alert_level, {ALERT} FROM scored"""
 HIGH_LINE = _ridge("pairs", "speed_kmh", "vehicle_count", "3 * pm25")
 LINE = """SELECT round(c1, 6) AS speed_coefficient, round(c2, 6) AS vehicle_coefficient,
        round(c0, 6) AS intercept FROM line"""
@@ -256,12 +278,32 @@ def sql():
             PAIRS,
             PAIR_LINE,
             SCORED,
-            select=f"""SELECT district, window_end, avg_speed, max_density, avg_pm25,
-                              round(predicted_pm25, 6) AS predicted_pm25, alert_level, {ALERT}
-                       FROM scored
-                       WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}""",
+            select=f"""{SERVED_COLUMNS} WHERE district IS NOT NULL
+                       AND window_end <= {ONE_WATERMARK}""",
         ),
         "gold_two_runs": two_runs,
+        "gold_retrained": _with(
+            *hourly,
+            PAIRS,
+            PAIR_LINE,
+            _pairs("early_pairs", f"t.event_time < {CUT} AND p.event_time < {CUT}"),
+            _ridge("early_pairs", "speed_kmh", "vehicle_count", "pm25", "early_line"),
+            f"""scored AS (
+                SELECT kpi.*, CASE WHEN window_end <= {FIRST_RUN}
+                    THEN e.c0 + e.c1 * avg_speed + e.c2 * max_density
+                    ELSE l.c0 + l.c1 * avg_speed + l.c2 * max_density END AS predicted_pm25
+                FROM kpi, line l, early_line e)""",
+            select=f"""{SERVED_COLUMNS} WHERE district IS NOT NULL
+                       AND window_end <= {ONE_WATERMARK}""",
+        ),
+        "gaps_served": _with(
+            _feeds(_gaps),
+            _kpi("1 hour"),
+            PAIRS,
+            PAIR_LINE,
+            SCORED,
+            select=f"{SERVED_COLUMNS} WHERE district IS NOT NULL",
+        ),
         "serving_folded": two_runs,
         "gold_new_checkpoint": _with(
             *hourly,

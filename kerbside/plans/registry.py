@@ -29,5 +29,7 @@ QUERIES = {
     "gold_two_runs": models.gold_two_runs,
     "gold_new_checkpoint": models.gold_new_checkpoint,
     "serving_folded": models.serving_folded,
+    "gold_retrained": models.gold_retrained,
+    "gaps_served": models.gaps_served,
     "history_sql": streams.history_sql,
 }
