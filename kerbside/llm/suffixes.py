@@ -318,8 +318,11 @@ def _removed(buckets, length, key):
     return run
 
 
-def _together(df: DataFrame, column: str, *then: str) -> DataFrame:
-    return df.repartition(column).sortWithinPartitions(column, *then)
+def _together(df: DataFrame, buckets: int, column: str, *then: str) -> DataFrame:
+    """Rows dealt out by ``column``, to more partitions than the session names where 8 buckets each need more."""
+    wanted = buckets // 8 + 1
+    few = wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartition(column) if few else df.repartition(wanted, column)).sortWithinPartitions(column, *then)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, key: int = KEY, bucket: int = BUCKET) -> DataFrame:
@@ -333,11 +336,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: int = KEY, bucket
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    setting = (size // bucket + 1, length, key)
-    ranks = _together(docs.mapInArrow(_first_ranks(*setting), PACKED), "bucket")
+    buckets = size // bucket + 1
+    setting = (buckets, length, key)
+    ranks = _together(docs.mapInArrow(_first_ranks(*setting), PACKED), buckets, "bucket")
     settled = materialize(ranks.mapInArrow(_settle, PACKED), "settled")
     texts = docs.mapInArrow(_texts(*setting), PACKED)
-    strings = _together(settled.union(texts), "chunk", "kind").mapInArrow(_string_ranks(*setting), PACKED)
-    answers = materialize(_together(strings, "bucket").mapInArrow(_settle_strings(length), PACKED), "strings")
-    whole = _together(settled.union(answers).union(texts), "chunk", "kind")
+    strings = _together(settled.union(texts), buckets, "chunk", "kind").mapInArrow(_string_ranks(*setting), PACKED)
+    answers = materialize(_together(strings, buckets, "bucket").mapInArrow(_settle_strings(length), PACKED), "strings")
+    whole = _together(settled.union(answers).union(texts), buckets, "chunk", "kind")
     return whole.mapInArrow(_removed(*setting), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

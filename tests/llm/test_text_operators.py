@@ -87,7 +87,7 @@ def removed(corpus, length):
 
 
 def test_remove_repeats(docs, corpus):
-    for bucket in (suffixes.BUCKET, 20_000):
+    for bucket in (suffixes.BUCKET, 20_000, 1_000):
         got = suffixes.remove_repeats(docs, bucket=bucket).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
         assert ordered(got.collect()) == ordered(removed(corpus, 50))
 
