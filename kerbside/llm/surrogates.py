@@ -150,7 +150,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = docs.withColumn("entities", F.regexp_extract_all("text", F.lit(f"({ANY})"), 0))
     without = found.where("text IS NULL OR size(entities) = 0").select("doc_id", F.lit(0).cast("long").alias("n_entities"), "text")
-    rows = found.where("size(entities) > 0").select("doc_id", "entities", F.split("text", f"(?:{ANY})", -1).alias("pieces"), F.xxhash64("doc_id", "text").alias("row"))
+    rows = found.where("size(entities) > 0").select("doc_id", "entities", F.split("text", f"(?:{ANY})", -1).alias("pieces"), F.struct(F.xxhash64("doc_id", "text").alias("one"), F.xxhash64(F.lit(1), "doc_id", "text").alias("two")).alias("row"))  # 128 bits
     rows = materialize(rows, "cut")
     each = rows.select("row", F.posexplode("entities").alias("at", "entity")).distinct()
     each = each.withColumn("kind", _kind(F.col("entity"))).withColumn("canon", _canonical(F.col("kind"), F.col("entity")))
