@@ -2,7 +2,8 @@
 
 Seeds are the word n-grams of the test items that would rarely arise by chance: the product of the shares of their words
 in the whole corpus is below a bound. (How often a seed itself occurs says nothing: a leaked item may be in a third of
-all documents.) A document that has a seed is joined to its item, and a window of the document around each group of
+all documents.) Leaks also make an item's own words frequent, so an item of whose n-grams too few are rare gives all of
+them, and one shorter than a seed its whole sequence of words. A document that has a seed is joined to its item, and a window of the document around each group of
 seeds is aligned with the item word by word. Edited, cut or paraphrased copies keep some seed and a high score.
 
 Items are few against the corpus; they and their seeds are broadcast once their size has been checked, and a benchmark
@@ -24,6 +25,7 @@ from kerbside.llm.store import materialize
 
 N = 3  # words in a seed
 CHANCE = 1e-8  # most expected occurrences of a seed for each word of text
+RARE = 0.5  # least share of an item's n-grams that are rare for the others to be left out
 SCORE = 0.5  # least alignment score, as a share of that of a whole copy
 MATCH, OTHER, GAP = 2, -1, -1  # scores of a pair of equal words, of unequal words, and of a word alone
 MOST_CHARS = 16_000_000  # of all items
@@ -114,48 +116,52 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int, int]:
     return best / (MATCH * n), int(equal), j, last
 
 
-def _best(item, words, at):
+def _best(item, words, at, least):
     """Best alignment of an item with a document's ``words`` around the positions ``at`` of seeds, in windows that overlap
-    by more than an item, so that none is cut and a long run of seeds is not one large table."""
+    by more than an item, so that none is cut and a long run of seeds is not one large table. A score of ``least`` takes
+    as large a share of equal words, so windows with fewer of the item's words are passed over."""
     reach = 2 * len(item)
     best = (0.0, 0, 0, 0)
     at = np.unique(at)
     while len(at):
         low = max(0, int(at[0]) - reach)
         high = min(len(words), int(at[0]) + 2 * reach)
-        got, equal, first, last = align(item, words[low:high])
-        best = max(best, (got, equal, -(low + first), low + last))
+        if np.isin(item, words[low:high]).sum() >= least * len(item):
+            got, equal, first, last = align(item, words[low:high])
+            best = max(best, (got, equal, -(low + first), low + last))
         at = at[at > at[0] + reach // 2]
     got, equal, first, last = best
     return got, equal, -first, last
 
 
 class _Items:
-    """The test items by number: ids, word hashes, and for each seed the items that have it."""
+    """The test items by number: ids, word hashes, and for each length and seed of it the items that have it."""
 
     def __init__(self, ids, hashes, seeds):
-        self.ids, self.hashes = ids, hashes
-        self.seed = np.array(sorted(seeds), np.uint64)
-        self.items = [seeds[int(s)] for s in self.seed]
+        self.ids, self.hashes, self.seeds = ids, hashes, []
+        for n, of in sorted(seeds.items()):
+            seed = np.array(sorted(of), np.uint64)
+            self.seeds.append((n, seed, [of[int(s)] for s in seed]))
 
 
-def _aligned(items, n, least):
+def _aligned(items, least):
     def run(batches):
         for piece in T.pieces(batches):
             h, doc = _tokens(piece.column("text"))
-            seeds, of = T.shingles(h, doc, n)
-            place = np.flatnonzero(doc[: len(h) - n + 1] == doc[n - 1 :]) if len(h) >= n else np.zeros(0, np.int64)
             known = items.value
-            hit, _ = _hits(known.seed, seeds)
             begin = np.searchsorted(doc, np.arange(piece.num_rows + 1))
             ids = piece.column("doc_id").to_pylist()
             found: dict[tuple[int, int], list[int]] = {}
-            for p, d, s in zip(place[hit].tolist(), of[hit].tolist(), np.searchsorted(known.seed, seeds[hit]).tolist(), strict=True):
-                for item in known.items[s]:
-                    found.setdefault((d, item), []).append(p - int(begin[d]))
+            for n, known_seeds, having in known.seeds:
+                seeds, of = T.shingles(h, doc, n)
+                place = np.flatnonzero(doc[: len(h) - n + 1] == doc[n - 1 :]) if len(h) >= n else np.zeros(0, np.int64)
+                hit, _ = _hits(known_seeds, seeds)
+                for p, d, s in zip(place[hit].tolist(), of[hit].tolist(), np.searchsorted(known_seeds, seeds[hit]).tolist(), strict=True):
+                    for item in having[s]:
+                        found.setdefault((d, item), []).append(p - int(begin[d]))
             rows = []
             for (d, item), at in found.items():
-                score, equal, first, last = _best(known.hashes[item], h[begin[d] : begin[d + 1]], np.array(at))
+                score, equal, first, last = _best(known.hashes[item], h[begin[d] : begin[d + 1]], np.array(at), least)
                 if score >= least:
                     rows.append((ids[d], known.ids[item], score, equal, first, last))
             yield pa.RecordBatch.from_pylist([dict(zip(FIELDS, r, strict=True)) for r in rows], pa.schema(SCHEMA))
@@ -182,24 +188,23 @@ def _items(items: DataFrame) -> tuple[list[int], list[np.ndarray]]:
     return [ids[i] for i in keep], [hashes[i] for i in keep]
 
 
-def _seeds(docs: DataFrame, hashes: list[np.ndarray], n: int, chance: float) -> dict[int, list[int]]:
-    """The items of each rare n-gram; an item without a rare one gives all it has, one shorter than ``n`` none."""
+def _seeds(docs: DataFrame, hashes: list[np.ndarray], n: int, chance: float) -> dict[int, dict[int, list[int]]]:
+    """By length, the items of each seed: rare n-grams, all n-grams of an item where less than ``RARE`` of them are rare,
+    and the whole of an item shorter than ``n``."""
     spark = docs.sparkSession
     vocabulary = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
     counted = docs.mapInArrow(_word_counts(spark.sparkContext.broadcast(vocabulary)), "word long, seen long, total long")
     counted = counted.groupBy("word").agg(F.sum("seen").alias("seen"), F.sum("total").alias("total")).toArrow()  # a row for each word of the items
     seen = dict(zip(counted.column("word").to_numpy().view(np.uint64).tolist(), counted.column("seen").to_pylist(), strict=True))
     total = max(1, pc.sum(counted.column("total")).as_py() or 0)
-    seeds: dict[int, list[int]] = {}
+    seeds: dict[int, dict[int, list[int]]] = {}
     for item, h in enumerate(hashes):
         share = np.array([math.log(max(1, seen.get(int(x), 0)) / total) for x in h])
-        grams, _ = T.shingles(h, np.zeros(len(h), np.int64), n)
-        if not len(grams):
-            continue
-        likely = sum(share[j : len(share) - n + 1 + j] for j in range(n))
-        rare = likely <= math.log(chance)
-        for g in set(grams[rare if rare.any() else likely == likely.min()].tolist()):
-            seeds.setdefault(g, []).append(item)
+        size = min(n, len(h))
+        grams, _ = T.shingles(h, np.zeros(len(h), np.int64), size)
+        rare = sum(share[j : len(share) - size + 1 + j] for j in range(size)) <= math.log(chance)
+        for g in set((grams[rare] if rare.mean() >= RARE else grams).tolist()):
+            seeds.setdefault(size, {}).setdefault(g, []).append(item)
     return seeds
 
 
@@ -208,14 +213,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, n: int = N, chance: float = CH
 
     ``docs(doc_id, text)``, ``items(item_id, text)``. A pair is contaminated if its best local alignment has at least
     ``least`` of the score of a whole copy; ``matched`` counts equal words, the span is in words of the document that have
-    a letter or a digit. Null and empty texts, items of fewer than ``n`` words and null item ids give no pair; a null
-    doc_id gives pairs with a null doc_id. Repeated rows of ``docs`` repeat their pairs, repeated items do not. Ties
+    a letter or a digit. Null and empty texts, items without words and null item ids give no pair, items of fewer
+    than ``n`` words only where they occur whole; a null doc_id gives pairs with a null doc_id. Repeated rows of ``docs`` repeat their pairs, repeated items do not. Ties
     between alignments go to the one with most equal words, then to the first. Other columns are not looked at.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ids, hashes = _items(items)
     known = _Items(ids, hashes, _seeds(docs, hashes, n, chance) if ids else {})
-    return docs.mapInArrow(_aligned(docs.sparkSession.sparkContext.broadcast(known), n, least), PAIRS)
+    return docs.mapInArrow(_aligned(docs.sparkSession.sparkContext.broadcast(known), least), PAIRS)
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, n: int = N, chance: float = CHANCE, least: float = SCORE) -> DataFrame:

@@ -41,3 +41,19 @@ def test_find_leaks(spark):
     kept = decontaminate.drop_leaks(frame, bench)
     assert kept.columns == frame.columns
     assert {r.doc_id for r in kept.collect()} == {None, 500, 501, 502} | {100 + i for i in range(30)}
+
+
+def test_edited_copies_of_an_item_in_a_third_of_short_rows(spark):
+    rng = random.Random(9)
+    item = [f"{w}{i}" for i, w in enumerate(prose(rng, 12).split())]
+    docs = [(i, " ".join(f"{w}{rng.randrange(900)}" for w in prose(rng, 30).split())) for i in range(120)]
+    for at in range(12):  # every word of the item edited in turn, so that no one seed is in all copies
+        for j in range(5):
+            words = [*item]
+            words[at] = f"other{at}"
+            docs.append((1000 + 5 * at + j, docs[5 * at + j][1] + " " + " ".join(words)))
+    docs += [(2000, "it says Quite short, here"), (2001, "quite different and short"), (2002, "a zyx alone")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "quite short"), (3, "zyx")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(frame, bench).collect()}
+    assert got == {(1000 + i, 1) for i in range(60)} | {(2000, 2), (2002, 3)}
