@@ -75,3 +75,23 @@ def test_assignment_keeps_distinct(spark):
     assert {r.canon: r.surrogate for r in rows} == {r.canon: r.surrogate for r in surrogates.assign(entities.where("kind = 'name'"), "k").collect()}
     few = surrogates.assign(entities.where("kind = 'ssn' AND canon < '30'"), "k").collect()
     assert len({r.surrogate for r in few}) == 30 and not {r.surrogate for r in few} & {c for _, c in small[:30]}
+
+
+def test_no_tag_swallows_the_article():
+    kept = lambda page: [t for t, kind in extract.blocks(page) if kind == "article"]
+    rest = "<p>kept</p></article></body>"
+    assert kept('<article><svg viewBox="0 0 1 1"/><p>kept</p><svg><text>no</text></svg></article>') == ["kept"]
+    assert kept("<video-js></video-js><article>" + rest) == ["kept"]
+    assert kept("<datalist><option value=a>no<option value=b/></datalist><article>" + rest) == ["kept"]
+    assert kept("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math></p></article>") == ["so x=1"]
+    for name in ("content with-sidebar", "no-sidebar", "has-banner main", "right-sidebar", "widget-page", "layout-sidebar"):
+        assert kept(f'<div class="{name}"><article>{rest}') == ["kept"]
+    assert kept('<div class="related"><article><p>no</article></div><article>' + rest) == ["kept"]
+    assert kept('<div class="related"><article><p>no</article></div><p>the text of the page') == []
+
+
+def test_pages_in_a_form_are_chosen_by_repeats(spark):
+    own = lambda i: " ".join(f"word{i * 100 + j}" for j in range(15))
+    rows = [(i, "http://h.example/", f"<form><div>Home News Sport Weather Contact About us</div><p>{own(i)}</p></form>") for i in range(4)]
+    got = extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: own(i) for i in range(4)}
