@@ -95,3 +95,11 @@ def test_pages_in_a_form_are_chosen_by_repeats(spark):
     rows = [(i, "http://h.example/", f"<form><div>Home News Sport Weather Contact About us</div><p>{own(i)}</p></form>") for i in range(4)]
     got = extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.page_id: r.text for r in got} == {i: own(i) for i in range(4)}
+
+
+def test_teasers_in_articles_are_not_the_text(spark):
+    own = lambda i: " ".join(f"word{i * 100 + j}" for j in range(40))
+    teaser = "<article><p>One teaser that all pages of this host have</article>"
+    rows = [(i, "http://h.example/", f"<{tag}><p>{own(i)}</p></{tag}>{teaser}") for i, tag in enumerate(["main", "div", "main", "div"])]
+    got = extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: own(i) for i in range(4)}
