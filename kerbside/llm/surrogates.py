@@ -24,15 +24,40 @@ NAMES = {
 }
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзийклмнопрстуфхцчшщыэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+CARD = r"(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}|\d{4}[ -]?\d{6}[ -]?\d{5})(?!\d)"
+# Lengths of IBANs by country; others are taken by their form.
+IBANS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+COUNTRIES = "|".join(f"(?:{c.replace(' ', '|')})" + r"\d{2}" + f"(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + r"(?![\p{L}\p{N}])" for n, c in IBANS.items())
+# A national number begins with 0 and has nine digits or more, or follows a word for telephone; dates and cards are none.
+NATIONAL = (
+    r"(?=[0(])(?<![\p{L}\d.,/-])(?!0\d[./-][01]?\d[./-](?:\d{4}|\d\d)(?![./-]?\d))(?!" + CARD + r")"
+    r"(?:(?=(?:[ ()./-]{0,3}\d){9})\(?0\d{1,5}\)?(?:[ ./-]{1,3}\d{2,8}){1,4}|0[1-9]\d{8,9})(?!\d)"
+    r"|(?=[\d(])(?<=(?<!\p{L})(?:[Tt]el|[Pp]hone|[Tt]elephone|[Mm]obile|[Ff]ax|[Hh]andy|[Tt]elefon|[Tt]éléphone|[Tt]eléfono|[Tt]elefono)[.:]{0,2} {0,1})(?:\(?\d{1,5}\)?(?:[ ./-]{1,3}\d{2,8}){1,5}|\d{6,12})(?!\d)"
+)
+TITLES = "Mr|Mrs|Ms|Miss|Mx|Dr|Prof|Professor|Sir|Madam|Herr|Herrn|Frau|Monsieur|Madame|Mme|Mlle|Señor|Señora|Sr|Sra|Signor|Signora|Sig|Mevrouw|Meneer|Pan|Pani|господин|госпожа|Господин|Госпожа"
+GREETINGS = "Dear|Hi|Hello|Hey|Hallo|Liebe|Lieber|Bonjour|Cher|Chère|Hola|Estimado|Estimada|Querido|Querida|Caro|Cara|Ciao|Уважаемый|Уважаемая|Дорогой|Дорогая"
+NO_NAMES = "All|Both|Colleagues|Customer|Everybody|Everyone|Friend|Friends|Guest|Madame|Member|Reader|Readers|Sirs|Subscriber|Team|There|User|World"
+PART = r"\p{Lu}(?:\.(?= \p{Lu})|\p{L}+(?:['’-]\p{Lu}\p{L}*)*|['’]\p{Lu}\p{L}+)"
+BETWEEN = "(?:(?:van|von|der|den|de|del|della|di|da|dos|du|la|le|zu|bin|al|el) ){0,3}"
+# A name told by the title, salutation or field before it.
+TOLD = (
+    rf"(?<=[ :=\"'])(?=[\p{{Lu}}vdlzbae])(?:(?<=(?<![\p{{L}}\p{{N}}])(?:{TITLES})\.? )|(?<=(?<![\p{{L}}\p{{N}}])(?:{GREETINGS}) )|(?<=(?<!\p{{L}})(?:[Nn]ame|NAME)[\"']?[:=] ?[\"']?))"
+    rf"{BETWEEN}(?!(?:{TITLES}|{NO_NAMES})(?!\p{{L}})){PART}(?: {BETWEEN}{PART}){{0,2}}(?!\p{{L}})"
+)
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){0,20}\.\p{L}{2,24}",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])",
-    "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
-    "card": r"(?<!\d)(?<!\d[.-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?!\d)",
+    "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)|" + NATIONAL,
+    "card": r"(?<!\d)(?<!\d[.-])" + CARD,
     "ip": rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?![\p{L}\p{N}])",
-    "name": r"(?=\p{Lu})(?<![\p{L}\p{N}])(?:" + "|".join(n for names in NAMES.values() for n in names.split()) + r")(?:[ ]\p{Lu}\p{Ll}+)?(?!\p{L})",
+    "iban": r"(?=[A-Z]{2}\d{2})(?<![\p{L}\p{N}])(?:" + COUNTRIES + r"|[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: ?[A-Z0-9]{4}){3,7}(?: \d{1,3})?)(?![\p{L}\p{N}]))",
+    "name": r"(?=\p{Lu})(?<![\p{L}\p{N}])(?:" + "|".join(n for names in NAMES.values() for n in names.split()) + r")(?:[ ]\p{Lu}\p{Ll}+)?(?!\p{L})|" + TOLD,
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 KEY = "public example key"
@@ -42,7 +67,7 @@ FURTHER = 1_000_000  # attempts from which on a surrogate name is made up, not l
 def _kind(entity: Column) -> Column:
     kinds = list(PATTERNS)
     first = F.when(entity.rlike(f"^(?:{PATTERNS[kinds[0]]})$"), kinds[0])
-    return reduce(lambda c, k: c.when(entity.rlike(f"^(?:{PATTERNS[k]})$"), k), kinds[1:], first).otherwise("name")
+    return reduce(lambda c, k: c.when(entity.rlike(f"^(?:{PATTERNS[k]})$"), k), kinds[1:], first).otherwise(F.when(entity.rlike(r"\p{L}"), "name").otherwise("phone"))  # what is before it told it
 
 
 def _canonical(kind: Column, entity: Column) -> Column:
@@ -72,7 +97,8 @@ def _disguised(text: Column, seed: Column, hexadecimal: Column | None = None) ->
         for letters in LETTERS.values():
             new = F.substring(F.lit(letters), (F.pmod(n, F.lit(len(letters))) + 1).cast("int"), F.lit(1))
             out = out.when(c.rlike(f"[{letters}]"), new).when(c.rlike(f"[{letters.upper()}]"), F.upper(new))
-        return out.otherwise(F.when(c.rlike(r"\p{L}"), F.substring(F.lit(LETTERS["latin"]), (F.pmod(n, F.lit(26)) + 1).cast("int"), F.lit(1))).otherwise(c))
+        other = F.substring(F.lit(LETTERS["latin"]), (F.pmod(n, F.lit(26)) + 1).cast("int"), F.lit(1))
+        return out.otherwise(F.when(c.rlike(r"\p{Lu}"), F.upper(other)).when(c.rlike(r"\p{L}"), other).otherwise(c))
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text))), sign), "")
 
@@ -92,6 +118,8 @@ def _surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column
         listed = F.when(given.isin(words), F.element_at(F.array(*map(F.lit, words)), (place + 1).cast("int"))).otherwise(listed)
     surname = F.when(F.instr(canon, " ") > 0, F.concat(F.lit(" "), _disguised(F.substring_index(canon, " ", -1), seed))).otherwise("")
     made = F.concat(listed, F.when((F.instr(canon, " ") == 0) & (attempt >= FURTHER), F.lower(_disguised(F.lit("nanana"), seed))).otherwise(""), surname)
+    unlisted = F.concat(_disguised(canon, seed), F.when(attempt >= FURTHER, F.lower(_disguised(F.lit("nanana"), seed))).otherwise(""))  # of unknown gender
+    made = F.coalesce(made, unlisted)
     return (
         F.when(kind == "email", F.concat(local, F.lit("@"), domain))
         .when(kind == "ip", octets)
@@ -145,7 +173,8 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     A null text stays null with 0 entities, a text without entities as it is. Entities are found from left to right, the
     longest kind listed first in ``PATTERNS`` winning at a place. A name is told by its given name, whose gender and
-    script the surrogate has. Repeated rows are treated alike; other columns are not looked at; an empty table gives no rows.
+    script the surrogate has, or by a title, salutation or ``name:`` before it; one whose given name is not listed gets
+    letters of its script. Repeated rows are treated alike; other columns are not looked at; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = docs.withColumn("entities", F.regexp_extract_all("text", F.lit(f"({ANY})"), 0))

@@ -103,3 +103,28 @@ def test_teasers_in_articles_are_not_the_text(spark):
     rows = [(i, "http://h.example/", f"<{tag}><p>{own(i)}</p></{tag}>{teaser}") for i, tag in enumerate(["main", "div", "main", "div"])]
     got = extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.page_id: r.text for r in got} == {i: own(i) for i in range(4)}
+
+
+def test_surrogates_of_further_formats(spark):
+    texts = [
+        "IBAN DE89370400440532013000 or DE89 3704 0044 0532 0130 00 IN all; NL91ABNA0417164300",
+        "IT60X0542811101000000123456, GB29NWBK60161331926819, FR14 2004 1010 0505 0001 3M02 606, NO93 8601 1117 947.",
+        "cards 3782 822463 10005, 3782-822463-10005 and 378282246310005",
+        "call 030 12345678, (030) 12345678, 020 7946 0958, 01.42.68.53.00, 0612345678, Tel. 612 345 678 on 01.02.2024 or 05/06/2024 10.30",
+        "Dear Zbigniew, Mr. Kowalczyk and Dr. Ağca O'Neil met; name: Xiomara van Dyck; Dear Customer, Dear Sir or Hello World",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_entities) for r in surrogates.replace(docs).collect()}
+    assert [got[i][1] for i in range(5)] == [3, 4, 3, 6, 4]
+    m = re.fullmatch(r"IBAN (DE\d{20}) or (DE\d\d(?: \d{4}){4} \d\d) IN all; NL\d\d[A-Z]{4}\d{10}", got[0][0])
+    assert m and m[1] == m[2].replace(" ", "") != "DE89370400440532013000"
+    assert re.fullmatch(r"IT\d\d[A-Z]\d{22}, GB\d\d[A-Z]{4}\d{14}, FR\d\d \d{4} \d{4} \d{4} \d{4} \d[A-Z]\d\d \d{3}, NO\d\d \d{4} \d{4} \d{3}\.", got[1][0])
+    m = re.fullmatch(r"cards (\d{4} \d{6} \d{5}), (\d{4}-\d{6}-\d{5}) and (\d{15})", got[2][0])
+    assert m and len({re.sub(r"\D", "", x) for x in m.groups()} | {"378282246310005"}) == 2
+    m = re.fullmatch(r"call (\d{3} \d{8}), \((\d{3})\) (\d{8}), \d{3} \d{4} \d{4}, \d\d(?:\.\d\d){4}, \d{10}, Tel\. \d{3} \d{3} \d{3} on 01\.02\.2024 or 05/06/2024 10\.30", got[3][0])
+    assert m and m[1] == f"{m[2]} {m[3]}"
+    m = re.fullmatch(r"Dear ([A-Z][a-z]{7}), Mr\. ([A-Z][a-z]{8}) and Dr\. ([A-Z]\w{3} [A-Z]'[A-Z]\w{3}) met; name: (\w+ \w+ \w+); Dear Customer, Dear Sir or Hello World", got[4][0])
+    assert m and not set(m.groups()) & {"Zbigniew", "Kowalczyk", "Ağca O'Neil", "Xiomara van Dyck"}
+    for i, text in enumerate(texts):
+        for number in re.findall(r"\d{8,}", text):
+            assert number not in got[i][0]
