@@ -2,17 +2,20 @@
 
 Features (whole text): hits of a lexicon, their density, hits that appear only once letters written as signs are read
 back, nearness of a hit to a second-person pronoun, rates of capitals, of words in capitals, of exclamation and question
-marks, of other punctuation, of obfuscated words and of repeated letters, and the length. The lexicon is a fixed list and the words
-that mark toxic texts among the labelled rows.
+marks, of other punctuation, of obfuscated words and of repeated letters, and the length. The lexicon is a fixed list of
+words; a second one is learned from the labelled rows: beginnings of words and whole words, each with the share of a
+text's words from which on it marks toxic texts. One entry covers all inflected and compound forms of a stem. Entries are
+chosen one by one for the toxic texts that none before explains, so a language or class with few of them gets its own.
 
 The labelled rows are parted by a hash of the text, so that copies fall together: eight of ten parts fit the trees (six
-of these choose the learned words), the rest the calibration.
+of these choose the learned entries), the rest the calibration.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
@@ -45,7 +48,14 @@ SHOUTED = re.compile(r"(?<![A-Z])[A-Z]{2,}(?![A-Za-z])")
 DRAWN = re.compile(r"([^\W\d_])\1\1")
 CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 MARKS = b"\"#$%&'()*+,-./:;<=>@[\\]^_`{|}~"
-NAMES = ["hits", "density", "masked_hits", "near", "capitals", "shouted", "exclaimed", "asked", "marks", "masked", "drawn", "length"]
+NAMES = ["hits", "density", "masked_hits", "near", "capitals", "shouted", "exclaimed", "asked", "marks", "masked", "drawn", "length", "stem_hits", "stem_density", "stem_ratio"]
+END = " "  # closes an entry that is a whole word
+BEGINNINGS = (3, 4, 5, 6, 8)  # letters
+SHARES = (0.001, 0.0025, 0.005, 0.01)  # of a text's words
+LEAST_GAIN = 0.01  # of the toxic texts not yet explained, that an entry must add
+CONTRAST = 10  # times as common in toxic texts as in others
+EVIDENCE = 14.0  # nats by which chance is excluded, more than the logarithm of the number of entries tried
+MOST_STEMS = 200
 
 
 def _masked_words(low: str) -> list[str]:
@@ -62,31 +72,65 @@ def _masked_words(low: str) -> list[str]:
     return found
 
 
-def measure(text: str | None, lexicon: frozenset[str]) -> list[float]:
+def subwords(words: Counter) -> Counter:
+    """Occurrences of the beginnings of the words, and of whole words (with END)."""
+    found: Counter = Counter()
+    for w, n in words.items():
+        found[w + END] += n
+        for k in BEGINNINGS:
+            if len(w) < k:
+                break
+            found[w[:k]] += n
+    return found
+
+
+class Lexicon:
+    """Marking words, and marking subwords with the share of a text's words that each needs."""
+
+    def __init__(self, words=LEXICON, stems: dict[str, float] | None = None):
+        self.words, self.stems = frozenset(words), dict(stems or {})
+        self.lengths = sorted({len(s) for s in self.stems if not s.endswith(END)})
+
+    def hits(self, words: list[str]) -> Counter:
+        found: Counter = Counter()
+        for w, n in Counter(words).items():
+            if w + END in self.stems:
+                found[w + END] += n
+            for k in self.lengths:
+                if len(w) >= k and w[:k] in self.stems:
+                    found[w[:k]] += n
+        return found
+
+
+def measure(text: str | None, lexicon: Lexicon) -> list[float]:
     """The features of one text, all 0 if it is null or empty."""
     if not text:
         return [0.0] * len(NAMES)
     low = text.lower()
     words = LETTERS.findall(low)
-    at = [i for i, w in enumerate(words) if w in lexicon]
+    at = [i for i, w in enumerate(words) if w in lexicon.words]
     near = 0.0
     for i in at:
         around = [abs(i - j) for j in range(max(0, i - 8), min(len(words), i + 9)) if j != i and words[j] in SECOND_PERSON]
         near = max(near, 1 / min(around)) if around else near
     masked = _masked_words(low)
     plain = [LETTERS.findall(m.translate(SIGNS)) for m in masked]
-    found = sum(any(w in lexicon for w in p) and not any(w in lexicon for w in LETTERS.findall(m)) for m, p in zip(masked, plain, strict=True))
+    found = sum(any(w in lexicon.words for w in p) and not any(w in lexicon.words for w in LETTERS.findall(m)) for m, p in zip(masked, plain, strict=True))
     raw = text.encode("utf-8", "surrogatepass")
     size, count = len(raw), max(1, len(words))
     capitals = size - len(raw.translate(None, CAPITALS))
     marks = size - len(raw.translate(None, MARKS))
+    stems = lexicon.hits(words)
+    most = max(stems.values(), default=0)
+    ratio = max((n / count / lexicon.stems[s] for s, n in stems.items()), default=0.0)
     return [
         float(len(at)), len(at) / count, float(found), near, capitals / size, len(SHOUTED.findall(text)) / count,
         text.count("!") / count, text.count("?") / count, marks / size, len(masked) / count, len(DRAWN.findall(low)) / count, math.log1p(count),
+        float(most), most / count, min(ratio, 8.0),
     ]
 
 
-def features(lexicon: frozenset[str]):
+def features(lexicon: Lexicon):
     """Function of a text column that gives its features as an array."""
 
     @F.arrow_udf("array<double>")
@@ -109,33 +153,76 @@ def _sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     return rows.select("*", F.pmod(F.xxhash64("text", F.lit(7)), F.lit(10)).alias("part"))
 
 
-def _count_words(batches):
+def _marks(batches, wanted=None):
+    """``entry``, ``share`` (its place in SHARES) and the numbers of texts of both classes that hold the entry to that share."""
     for batch in batches:
-        seen: dict[str, list[int]] = {}
+        seen: dict[tuple[str, int], list[int]] = {}
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            for w in set(LETTERS.findall((text or "").lower())):
-                seen.setdefault(w, [0, 0])[int(label)] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())],
-            ["word", "mild", "toxic"],
-        )
+            for key in _entries(text, wanted):
+                seen.setdefault(key, [0, 0])[int(label)] += 1
+        columns = [[k[0] for k in seen], [k[1] for k in seen], [v[0] for v in seen.values()], [v[1] for v in seen.values()]]
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["entry", "share", "mild", "toxic"])
 
 
-def _learned_words(rows: DataFrame) -> frozenset[str]:
-    """Words in 8 % or more of the toxic texts of ``rows`` and five times as common there as in the others."""
+def _entries(text: str | None, wanted) -> list[tuple[str, int]]:
+    words = LETTERS.findall((text or "").lower())
+    total = max(1, len(words))
+    found = subwords(Counter(words))
+    kept = found.items() if wanted is None else ((e, found[e]) for e in wanted.keys() & found.keys())
+    return [(e, i) for e, n in kept for i, share in enumerate(SHARES) if n >= share * total]
+
+
+def _counted(rows: DataFrame, wanted=None) -> DataFrame:
+    counted = rows.select("text", "label").mapInArrow(lambda batches: _marks(batches, wanted), "entry string, share int, mild long, toxic long")
+    return counted.groupBy("entry", "share").agg(F.sum("mild").alias("mild"), F.sum("toxic").alias("toxic"))
+
+
+def learn_stems(rows: DataFrame) -> dict[str, float]:
+    """Marking subwords of ``rows(text, label)``, a bounded sample, and the share of a text's words that each needs.
+
+    Candidates are in LEAST_GAIN of the toxic texts, CONTRAST times as common there as in the others, and beyond chance:
+    the divergence of their texts' share of toxic ones from that of all is EVIDENCE or more. The one that explains most toxic texts no earlier one explains is taken next, with ties to the better contrast, the shorter and
+    the first by code point, until none adds LEAST_GAIN of those left. No class or no candidate: none.
+    """
     mild, toxic = (rows.where(f"label = {x}").count() for x in (0, 1))
     if not mild or not toxic:
-        return frozenset()
-    words = rows.select("text", "label").mapInArrow(_count_words, "word string, mild long, toxic long").groupBy("word").agg(F.sum("mild").alias("mild"), F.sum("toxic").alias("toxic"))
-    marked = words.where((F.col("toxic") >= max(3, 0.08 * toxic)) & (F.col("toxic") / toxic >= 5 * (F.col("mild") + 0.5) / mild))
-    return frozenset(r.word for r in marked.collect()) - SECOND_PERSON  # few: each is in 8 % of the toxic texts of a bounded sample
+        return {}
+    often = _counted(rows.where("label = 1")).where(F.col("toxic") >= max(3, LEAST_GAIN * toxic)).select("entry").distinct()
+    wanted = dict.fromkeys(r.entry for r in often.collect())  # each is in LEAST_GAIN of the toxic texts of a bounded sample
+    contrast = (F.col("toxic") / toxic) / ((F.col("mild") + 0.5) / mild)
+    base, held = toxic / (mild + toxic), F.col("toxic") + F.col("mild")
+    diverges = F.col("toxic") * F.log(F.col("toxic") / held / base) + F.when(F.col("mild") > 0, F.col("mild") * F.log(F.col("mild") / held / (1 - base))).otherwise(0.0)
+    marked = _counted(rows, wanted).where((F.col("toxic") >= max(3, LEAST_GAIN * toxic)) & (contrast >= CONTRAST) & (diverges >= EVIDENCE))
+    scored = {(r.entry, r.share): r.contrast for r in marked.select("entry", "share", contrast.alias("contrast")).collect()}
+    names = dict.fromkeys(e for e, _ in scored)
+
+    def explained(batches):
+        for batch in batches:
+            lists = [[[e, i] for e, i in _entries(t, names) if (e, i) in scored] for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([[f"{i}{e}" for e, i in x] for x in lists], pa.list_(pa.string()))], ["held"])
+
+    texts = rows.where("label = 1").select("text").mapInArrow(explained, "held array<string>").collect()  # of a bounded sample
+    holders: dict[tuple[str, int], set[int]] = {}
+    for number, row in enumerate(texts):
+        for h in row.held:
+            holders.setdefault((h[1:], int(h[0])), set()).add(number)
+    left, stems = set(range(len(texts))), {}
+    while holders and len(stems) < MOST_STEMS:
+        gains = {key: len(held & left) for key, held in holders.items()}
+        best = min(holders, key=lambda key: (-gains[key], -scored[key], len(key[0]), key))
+        if gains[best] < max(3, LEAST_GAIN * len(left)):
+            break
+        stems[best[0]] = min(SHARES[best[1]], stems.get(best[0], 1.0))
+        left -= holders.pop(best)
+    return stems
 
 
 class Model:
     """A fitted lexicon, trees and calibration; ``base`` where the labels give no two classes to tell apart."""
 
-    def __init__(self, lexicon=LEXICON, trees=None, calibration=None, base=0.0):
-        self.lexicon, self.trees, self.calibration, self.base = lexicon, trees, calibration, base
+    def __init__(self, lexicon=None, trees=None, calibration=None, base=0.0):
+        self.lexicon, self.trees, self.calibration, self.base = lexicon or Lexicon(), trees, calibration, base
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``doc`` (the row of docs as a struct) and ``score``."""
@@ -150,12 +237,12 @@ class Model:
         return rows.select("doc", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "calibrated")).alias("score"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, words=LEXICON) -> Model:
     rows = materialize(_sample(docs, labels, limit), "labelled").coalesce(4)
     classes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(classes) < 2:
         return Model(base=1.0 if classes.get(1.0) else 0.0)
-    lexicon = LEXICON | _learned_words(rows.where("part < 6"))
+    lexicon = Lexicon(words, learn_stems(rows.where("part < 6")))
     dense = materialize(rows.select("label", "part", array_to_vector(features(lexicon)(F.col("text"))).alias("features")), "features").coalesce(2)
     fitted = dense.where("part < 8")
     if fitted.select("label").distinct().count() < 2:

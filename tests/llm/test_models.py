@@ -44,9 +44,11 @@ def test_toxicity_without_two_classes(labelled, nothing):
 
 
 def test_measures():
-    lexicon = toxicity.LEXICON
+    lexicon = toxicity.Lexicon(stems={"mor": 0.1, "you ": 0.5})
     m = dict(zip(toxicity.NAMES, toxicity.measure("You IDIOT! you st*pid 1diot, id!ot...", lexicon), strict=True))
     assert m["hits"] == 1 and m["near"] == 1.0 and m["masked_hits"] == 1 and m["shouted"] > 0
+    assert m["stem_hits"] == 2 and m["stem_ratio"] == pytest.approx(m["stem_density"] / 0.5)
+    assert lexicon.hits(["moron", "morons", "mo", "yours", "you"]) == {"mor": 2, "you ": 1}
     assert toxicity.measure(None, lexicon) == toxicity.measure("", lexicon) == [0.0] * len(toxicity.NAMES)
 
 
@@ -68,3 +70,27 @@ def test_language(spark, nothing):
     assert {r.lang_pred for r in language.identify(docs.withColumn("lang", docs["lang"].substr(9, 1)).where("lang <> ''").unionByName(docs.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang", "score"))).collect()} == {"und"}
     assert language.identify(nothing).count() == 0
     assert {r.lang_pred for r in language.identify(docs.where("lang = 'de'")).collect()} == {"de"}
+
+
+def test_stems_of_inflected_words(spark):
+    """A class that is marked by forms of one stem only, each rare, beside one marked by a plain word."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        words = prose(rng, rng.randrange(60, 200)).split()
+        if i % 6 == 0:
+            for _ in range(len(words) // 20):
+                words[rng.randrange(len(words))] = "Brux" + "".join(rng.choice("aeioklmnrst") for _ in range(rng.randrange(5)))
+        elif i % 6 == 1:
+            words[rng.randrange(len(words))] = "zok"
+        elif i % 10 == 0:
+            words[0] = "bruxel"
+        rows.append((i, " ".join(words), int(i % 6 < 2), i % 10))
+    rows += [(700, None, 0, 0), (701, "", 1, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int, part int")
+    stems = toxicity.learn_stems(docs.selectExpr("text", "label"))
+    assert {s.strip()[:3] for s in stems} == {"bru", "zok"} and len(stems) == 2
+    assert toxicity.learn_stems(docs.selectExpr("text", "0 AS label")) == {}
+    got = toxicity.score(docs.where("doc_id < 700"), docs.selectExpr("doc_id", "label AS toxic")).collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 6 < 2) for r in held) >= 0.95 * len(held) > 80
