@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, decontaminate, extract, jaccard, language, mixing, quality, sharding, suffixes, surrogates, toxicity
+from kerbside.llm import bpe, conversations, decontaminate, extract, jaccard, language, mixing, quality, sharding, suffixes, surrogates, toxicity
 from kerbside.llm.store import documents, table
 
 
@@ -60,6 +61,16 @@ def token_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(conversations.damage(rows))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    parts = [rows.select("conv_id").distinct(), repaired.report, conversations.digests(repaired.rows).withColumnRenamed("sha256", "repaired_sha256")]
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).groupBy("conv_id")
+    found = found.agg(*(F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts), F.coalesce(F.max("audit"), F.lit("")).alias("audit"), F.max("repaired_sha256").alias("repaired_sha256"))
+    return found.withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination,
     "op2_mixing": source_mixing,
@@ -72,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extraction": page_texts,
     "op10_sharding": shard_places,
     "op12_bpe": token_digests,
+    "op13_conversation_repair": conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {"op10_sharding": sharding.sharding_sql()}
