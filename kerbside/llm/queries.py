@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, conversations, decontaminate, extract, jaccard, language, mixing, quality, sharding, suffixes, surrogates, toxicity
+from kerbside.llm import bpe, collocations, conversations, decontaminate, extract, jaccard, language, mixing, quality, sharding, suffixes, surrogates, toxicity
 from kerbside.llm.store import documents, table
 
 
@@ -56,6 +56,10 @@ def shard_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
 def token_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.tokenize(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -82,8 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality_rules,
     "op9_html_extraction": page_texts,
     "op10_sharding": shard_places,
+    "op11_collocations": phrase_collocations,
     "op12_bpe": token_digests,
     "op13_conversation_repair": conversation_repair,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_sharding": sharding.sharding_sql()}
+ORACLE_SQL: dict[str, str] = {"op10_sharding": sharding.sharding_sql(), "op11_collocations": collocations.collocations_sql()}
