@@ -330,9 +330,7 @@ def collocations_sql(table: str = "documents", least: int = LEAST, top: int = 20
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     score = "(1000000::HUGEINT * a * a) // (l::HUGEINT * r)"
     return rf"""
-        WITH cut AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(text, '{upper}', '{lower}'), '[.,;:!?
--
-]')) AS piece FROM {table}),
+        WITH cut AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(text, '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM {table}),
         pieces AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM cut),
         w AS (SELECT lang, id, unnest(words) AS x, generate_subscripts(words, 1) AS i FROM pieces),
         g AS (SELECT lang, x, lead(x) OVER p AS y, lead(x, 2) OVER p AS z FROM w WINDOW p AS (PARTITION BY id ORDER BY i)),
