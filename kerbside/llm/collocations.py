@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from kerbside.llm.store import materialize
 from kerbside.llm.text import LOWER, chain, flat, mix, pieces, prefix_hash, span_hash
 
-PIECE = 1 << 23  # bytes of text counted at a time
+PIECE = 1 << 22  # bytes of text counted at a time
 LEAST = 10  # occurrences of a phrase
 STRIPE = 1 << 20  # words that one stripe counts, about, where its prefix is frequent
 SHARE = 200_000
@@ -58,16 +58,22 @@ class Words:
         self.langs = sorted(set(langs))
         number = {lang: i for i, lang in enumerate(self.langs)}
         self.lang = np.array([number[lang] for lang in langs], np.int64)[text] if len(start) else np.zeros(0, np.int64)
-        self.hash = span_hash(prefix_hash(data), start, end)
         spans = np.empty(2 * len(start) + 1, np.int64)  # words and what is between them, in turn
         spans[0:-1:2], spans[1::2] = start, end
         spans[-1] = len(data)
         runs = pa.LargeStringArray.from_buffers(2 * len(start), pa.py_buffer(spans), pa.py_buffer(data.tobytes())) if len(start) else pa.array([], pa.large_string())
         coded = runs.take(pa.array(np.arange(0, 2 * len(start), 2))).dictionary_encode()
-        self.names = pa.concat_arrays([coded.dictionary.cast(pa.large_string()), pa.array([END], pa.large_string())])
+        names = coded.dictionary.cast(pa.large_string())
+        self.names = pa.concat_arrays([names, pa.array([END], pa.large_string())])
+        of_names, limits = flat(names)
+        self.name_hash = np.append(span_hash(prefix_hash(of_names), limits[:-1], limits[1:]), np.uint64(0))  # of distinct words only
         self.id = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.end = len(self.names) - 1  # the number of END
 
+    @property
+    def hash(self) -> np.ndarray:
+        return self.name_hash[self.id]
+
     def joined(self, at: np.ndarray, size: int) -> pa.Array:
         """The phrases of ``size`` words that begin at these words."""
         parts = [self.names.take(pa.array(self.id[at + j])) for j in range(size)]
@@ -174,9 +180,7 @@ def _counted(batches, size: int, heavy: dict[tuple[str, str], int], frequent: Bi
         names = words.joined(at[example], size)
         langs = [words.langs[i] for i in words.lang[at[example]]]
         parts = np.array([heavy.get(name, 0) for name in zip(langs, names.to_pylist(), strict=True)] if heavy else [0] * len(langs), np.int64)
-        follow_hash = np.zeros(words.end + 1, np.uint64)
-        follow_hash[words.id] = words.hash
-        part = np.where(parts[prefix] > 0, 1 + (follow_hash[follow] % np.maximum(parts[prefix], 1).astype(np.uint64)).astype(np.int64), 0)
+        part = np.where(parts[prefix] > 0, 1 + (words.name_hash[follow] % np.maximum(parts[prefix], 1).astype(np.uint64)).astype(np.int64), 0)
         most = int(parts.max()) + 1
         key, count = np.unique((prefix * most + part) * len(words.names) + follow, return_counts=True)
         stripe, follow = key // len(words.names), key % len(words.names)
