@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from kerbside.llm.store import materialize
 from kerbside.llm.text import LOWER, chain, flat, mix, pieces, prefix_hash, span_hash
 
-PIECE = 1 << 22  # bytes of text counted at a time
+PIECE = 1 << 23  # bytes of text counted at a time
 LEAST = 10  # occurrences of a phrase
 STRIPE = 1 << 20  # words that one stripe counts, about, where its prefix is frequent
 SHARE = 200_000
@@ -224,37 +224,89 @@ class _Stripe:
         return sum(counts), [x[0] for x in few], [x[1] for x in few]
 
 
+def _flat_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All counts in a row, and how many each row has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    counts = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].copy().view("<u4").astype(np.int64)
+    return counts, np.diff(offsets) // 4
+
+
+def _whole_stripes(batch: pa.RecordBatch, least: int, rare: dict[str, int]) -> pa.RecordBatch:
+    """Rows of ``_merged`` of a batch that has all rows of its keys."""
+    n = batch.num_rows
+    change = np.zeros(n, bool)
+    change[0] = True
+    for c in ("lang", "prefix", "part"):
+        column = batch.column(c)
+        change[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    counts, sizes = _flat_counts(batch.column("counts"))
+    first = np.flatnonzero(change)
+    total = np.add.reduceat(counts, (np.cumsum(sizes) - sizes)[first])
+    kept = (total >= least) | (batch.column("part").to_numpy()[first] > 0)
+    for lang, x in zip(batch.column("lang").take(pa.array(first[~kept])).to_pylist(), total[~kept].tolist(), strict=True):
+        rare[lang] = rare.get(lang, 0) + x
+    key = np.cumsum(change) - 1
+    rows = kept[key]
+    key, counts = np.repeat((np.cumsum(kept) - 1)[key][rows], sizes[rows]), counts[np.repeat(rows, sizes)]
+    names = pc.split_pattern(batch.column("follow").filter(pa.array(rows)), " ").flatten().dictionary_encode()
+    name = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    pair = key * max(1, len(names.dictionary)) + name
+    order = np.argsort(pair, kind="stable")
+    start = np.flatnonzero(np.r_[True, np.diff(pair[order]) != 0]) if len(order) else order
+    added = np.add.reduceat(counts[order], start) if len(start) else counts
+    few = np.flatnonzero(added >= least)
+    at = order[start[few]]
+    offsets = pa.array(np.r_[0, np.cumsum(np.bincount(key[at], minlength=int(kept.sum())))].astype(np.int32))
+    of = pa.array(first[kept])
+    lists = [pa.ListArray.from_arrays(offsets, x) for x in (names.dictionary.take(pa.array(name[at])), pa.array(added[few]))]
+    return pa.RecordBatch.from_arrays([batch.column("lang").take(of), batch.column("prefix").take(of), pa.array(total[kept]), *lists], MERGED)
+
+
+MERGED = ["lang", "prefix", "total", "follow", "counts"]
+
+
 def _merged(batches, least: int):
     """Of stripes sorted by key, those of one key added up: total, and the following words of ``least`` or more.
 
-    Words (prefixes) that are rarer themselves are added up in a row without a prefix.
+    Words (prefixes) that are rarer themselves are added up in a row without a prefix. The last key of a batch may go on
+    in the next one, so it is added to row by row; all others of a batch are added up at once.
     """
     key, stripe, rare = None, None, {}
 
-    def taken(rows):
+    def closed():
         total, *frequent = stripe.row(least)
         if key[2] or total >= least:
-            rows.append((*key[:2], total, *frequent))
-        else:
-            rare[key[0]] = rare.get(key[0], 0) + total
+            return [(*key[:2], total, *frequent)]
+        rare[key[0]] = rare.get(key[0], 0) + total
+        return []
 
     def batch_of(rows):
         kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["lang", "prefix", "total", "follow", "counts"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], MERGED)
+
+    def same(batch, name):
+        found = [pc.equal(batch.column(c), pa.scalar(x, batch.column(c).type)).to_numpy(zero_copy_only=False) for c, x in zip(("lang", "prefix", "part"), name, strict=True)]
+        return np.logical_and.reduce(found)
 
     for batch in batches:
-        rows = []
-        for *name, follow, counts in zip(*(batch.column(c).to_pylist() for c in ("lang", "prefix", "part", "follow", "counts")), strict=True):
-            if name == key:
+        low = 0
+        if key is not None:
+            low = int(same(batch, key).sum())  # at the batch's start, as the rows are sorted
+            for follow, counts in zip(*(batch.column(c).slice(0, low).to_pylist() for c in ("follow", "counts")), strict=True):
                 stripe.add(follow, counts)
-                continue
-            if key is not None:
-                taken(rows)
-            key, stripe = name, _Stripe(follow, counts)
-        yield batch_of(rows)
-    rows = []
-    if key is not None:
-        taken(rows)
+        if low == batch.num_rows:
+            continue
+        if key is not None:
+            yield batch_of(closed())
+        key = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("lang", "prefix", "part")]
+        high = batch.num_rows - int(same(batch, key).sum())
+        if high > low:
+            yield _whole_stripes(batch.slice(low, high - low), least, rare)
+        (follow, counts), *more = zip(*(batch.column(c).slice(high).to_pylist() for c in ("follow", "counts")), strict=True)
+        stripe = _Stripe(follow, counts)
+        for follow, counts in more:
+            stripe.add(follow, counts)
+    rows = closed() if key is not None else []
     yield batch_of(rows + [(lang, None, total, [], []) for lang, total in rare.items()])
 
 
