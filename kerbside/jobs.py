@@ -116,8 +116,7 @@ def _result(rows, args):
 
 
 def series(spark, args):
-    batches = serving.read_log(spark, args.serving, args.district)
-    return _result(serving.district_series(batches, args.district, args.since), args)
+    return _result(serving.district_series(spark, args.serving, args.district, args.since), args)
 
 
 def query(spark, args):
@@ -138,6 +137,7 @@ def pack(spark, args):
 
 def fold(spark, args):
     serving.fold(spark, args.serving, args.before)
+    serving.clean(spark, args.serving, args.keep_hours)
 
 
 def _stream_arguments(parser, every):
@@ -218,6 +218,7 @@ def _parser():
     job = jobs.add_parser("fold", help="gather closed days of the serving table into its base")
     job.add_argument("--serving", required=True)
     job.add_argument("--before", help="only windows before this UTC day (yyyy-MM-dd)")
+    job.add_argument("--keep-hours", type=float, default=serving.KEPT_HOURS, help="how long files of earlier lists stay for readers")
     job.set_defaults(run=fold, streaming=False)
     return parser
 

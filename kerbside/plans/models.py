@@ -101,14 +101,12 @@ def _serving_log(spark, sf_dir):
 
 
 def serving_latest(spark, sf_dir):
-    batches = serving.read_log(spark, _serving_log(spark, sf_dir))
-    rows = serving.newest_first(serving.latest(batches))
+    rows = serving.newest_first(serving.current(spark, _serving_log(spark, sf_dir)))
     return rows.withColumn("window_end", batch.ntz("window_end"))
 
 
 def district_series(spark, sf_dir):
-    batches = serving.read_log(spark, _serving_log(spark, sf_dir), "Centre")
-    rows = serving.district_series(batches, "Centre")
+    rows = serving.district_series(spark, _serving_log(spark, sf_dir), "Centre")
     return rows.withColumn("window_end", batch.ntz("window_end"))
 
 
@@ -203,5 +201,5 @@ def gaps_served(spark, sf_dir):
 
 
 def _served(spark, path):
-    rows = serving.latest(serving.read_log(spark, path))
+    rows = serving.current(spark, path)
     return _rounded(rows.withColumn("window_end", batch.ntz("window_end")), "predicted_pm25")

@@ -1,7 +1,6 @@
 """Relation schemas. Sources are always read with these; nothing is inferred."""
 
 from pyspark.sql.types import (
-    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -80,7 +79,6 @@ SERVING_KEY = ["district", "window_end"]
 SERVING_LOG = StructType(
     SERVING.fields
     + [
-        StructField("window_date", DateType(), True),
         StructField("run_id", LongType(), True),
         StructField("batch_id", LongType(), True),
     ]

@@ -39,7 +39,7 @@ class Feeds:
         return query
 
     def served(self):
-        found = serving.latest(serving.read_log(self.spark, f"{self.folder}/serving")).collect()
+        found = serving.current(self.spark, f"{self.folder}/serving").collect()
         return {(row.district, f"{row.window_end:%H:%M}"): row for row in found}
 
 

@@ -56,7 +56,7 @@ def test_silver_and_rejects(spark, city):
 
 
 def test_gold(spark, city):
-    rows = serving.latest(serving.read_log(spark, f"{city}/serving"))
+    rows = serving.current(spark, f"{city}/serving")
     # 18 windows of ten minutes each; the last is still open.
     assert rows.count() == 34
     assert rows.where("predicted_pm25 IS NULL").count() == 0
@@ -106,9 +106,9 @@ def test_pack(spark, city):
 
 
 def test_fold(spark, city):
-    before = serving.latest(serving.read_log(spark, f"{city}/serving")).collect()
+    before = serving.current(spark, f"{city}/serving").collect()
     jobs.main(["fold", "--serving", f"{city}/serving"], spark)
-    after = serving.latest(serving.read_log(spark, f"{city}/serving")).collect()
+    after = serving.current(spark, f"{city}/serving").collect()
     assert sorted(before, key=repr) == sorted(after, key=repr) and len(after) == 34
 
 
