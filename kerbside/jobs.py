@@ -6,11 +6,8 @@ Streaming jobs run until one of their queries ends, or over what is there with `
 
 import argparse
 
-from pyspark.sql import functions as F
-
 from kerbside import schemas, session
-from kerbside.operators import history, kpis, scoring, serving, training
-from kerbside.operators import layers as layer_ops
+from kerbside.operators import history, kpis, moments, packing, scoring, serving, training
 from kerbside.sources.datasets import read_silver
 from kerbside.sources.topics import read_message_files, read_topic
 from kerbside.streaming import gold, layers
@@ -91,12 +88,25 @@ def run_gold(spark, args):
 
 
 def train(spark, args):
-    traffic, pollution = [read_silver(spark, f"{args.silver}/{feed}", feed) for feed in FEEDS]
+    if args.train_on == "moments":
+        model = moments.train(spark, args.moments, args.min_rows)
+        return _save(model, args)
+    traffic, pollution = [_history(spark, args, feed) for feed in FEEDS]
     if args.train_on == "pairs":
         model = training.train_on_pairs(traffic, pollution, args.min_rows)
     else:
         windows = kpis.kpis(kpis.unify(traffic, pollution), args.width)
         model = training.train_on_windows(windows, args.min_rows)
+    return _save(model, args)
+
+
+def _history(spark, args, feed):
+    if args.packed:
+        return packing.read_history(spark, f"{args.silver}/{feed}", f"{args.packed}/{feed}", feed)
+    return read_silver(spark, f"{args.silver}/{feed}", feed)
+
+
+def _save(model, args):
     if model is None:
         print(f"No model: fewer than {args.min_rows} training rows.")
         return None
@@ -120,19 +130,27 @@ def series(spark, args):
 
 
 def query(spark, args):
-    history.register(spark, {feed: f"{args.silver}/{feed}" for feed in FEEDS})
+    packed = {feed: f"{args.packed}/{feed}" for feed in FEEDS} if args.packed else None
+    history.register(spark, {feed: f"{args.silver}/{feed}" for feed in FEEDS}, packed)
     return _result(spark.sql(args.sql), args)
 
 
 def pack(spark, args):
     for feed in FEEDS:
-        rows = read_silver(spark, f"{args.silver}/{feed}", feed)
-        if args.before:
-            early = F.col("event_time") < F.lit(args.before).cast("timestamp")
-            # Rows without a time belong to no later day either.
-            rows = rows.where(early | F.col("event_time").isNull())
-        packed = layer_ops.pack(rows, args.rows_per_file)
-        packed.write.partitionBy("district").parquet(f"{args.output}/{feed}")
+        taken = packing.pack(spark, f"{args.silver}/{feed}", f"{args.output}/{feed}", feed, args.rows_per_file, args.before)
+        print(f"{feed}: {taken} files packed.")
+
+
+def run_moments(spark, args):
+    queries = [
+        layers.start_moments(spark, f"{args.silver}/{feed}", feed, args.output, f"{args.checkpoint}/moments_{feed}", _every(args), f"moments_{feed}")
+        for feed in FEEDS
+    ]
+    if args.once:
+        wait(spark, *queries)
+        for feed in FEEDS:
+            moments.merge(spark, args.output, feed)
+    return queries
 
 
 def fold(spark, args):
@@ -187,10 +205,20 @@ def _parser():
     job.add_argument("--store-option", action="append", default=[], metavar="KEY=VALUE")
     job.set_defaults(run=run_gold, streaming=True)
 
-    job = jobs.add_parser("train", help="fit the PM2.5 model on cleaned history")
+    job = jobs.add_parser("moments", help="keep the sums that training takes up to date")
     job.add_argument("--silver", required=True)
+    job.add_argument("--output", required=True)
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--every", default="1 minute")
+    job.add_argument("--once", action="store_true", help="take what is there, merge the sums and stop")
+    job.set_defaults(run=run_moments, streaming=True)
+
+    job = jobs.add_parser("train", help="fit the PM2.5 model on cleaned history")
+    job.add_argument("--silver")
+    job.add_argument("--packed", help="folder of packed history, which counts with the live one")
+    job.add_argument("--moments", help="folder of the sums, for --train-on moments")
     job.add_argument("--model", required=True)
-    job.add_argument("--train-on", choices=["pairs", "windows"], default="pairs")
+    job.add_argument("--train-on", choices=["pairs", "windows", "moments"], default="pairs")
     job.add_argument("--width", default="1 minute")
     job.add_argument("--min-rows", type=int, default=training.MIN_ROWS)
     job.set_defaults(run=train, streaming=False)
@@ -204,14 +232,15 @@ def _parser():
 
     job = jobs.add_parser("history", help="SQL over silver_traffic and silver_pollution")
     job.add_argument("--silver", required=True)
+    job.add_argument("--packed", help="folder of packed history, which counts with the live one")
     job.add_argument("--sql", required=True)
     _result_arguments(job)
     job.set_defaults(run=query, streaming=False)
 
-    job = jobs.add_parser("pack", help="rewrite cleaned history into larger files")
+    job = jobs.add_parser("pack", help="add what a stream has written since to the packed history")
     job.add_argument("--silver", required=True)
     job.add_argument("--output", required=True)
-    job.add_argument("--before", help="only events before this UTC day (yyyy-MM-dd)")
+    job.add_argument("--before", help="only files of earlier UTC days (yyyy-MM-dd)")
     job.add_argument("--rows-per-file", type=int, default=5_000_000)
     job.set_defaults(run=pack, streaming=False)
 
@@ -225,6 +254,8 @@ def _parser():
 
 def main(argv=None, spark=None):
     args = _parser().parse_args(argv)
+    if args.job == "train" and not (args.moments if args.train_on == "moments" else args.silver):
+        raise SystemExit("training takes --silver, or --moments with --train-on moments")
     if args.job in ("bronze", "silver", "gold") and args.source == "kafka" and not args.servers:
         raise SystemExit("--servers is needed to read topics")
     spark = session.use_utc(spark or session.build(f"kerbside {args.job}"))

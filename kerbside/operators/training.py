@@ -22,7 +22,7 @@ MIN_ROWS = 10
 HOUR = ["district", "hour"]
 
 
-def _hourly(rows, *measures):
+def complete_hours(rows, *measures):
     """Events complete in what training needs, with their hour.
 
     Spelled out column by column, as Parquet takes these filters and not those of ``dropna``.
@@ -34,7 +34,7 @@ def _hourly(rows, *measures):
 def traffic_hours(traffic):
     """Count, sums and moments of the complete traffic events of each district and hour."""
     return (
-        _hourly(traffic, *FEATURES)
+        complete_hours(traffic, *FEATURES)
         .groupBy(HOUR)
         .agg(
             F.count(F.lit(1)).alias("n_traffic"),
@@ -51,7 +51,7 @@ def traffic_hours(traffic):
 
 def pollution_hours(pollution):
     return (
-        _hourly(pollution, "pm25")
+        complete_hours(pollution, "pm25")
         .groupBy(HOUR)
         .agg(
             F.count(F.lit(1)).alias("n_pollution"),
@@ -68,11 +68,12 @@ def paired_hours(traffic, pollution):
     Pair counts grow with the square of the feeds and pass a 64-bit integer on large ones,
     so they are doubles.
     """
-    return (
-        traffic_hours(traffic)
-        .join(pollution_hours(pollution), HOUR, "inner")
-        .withColumn("pairs", F.col("n_traffic").cast("double") * F.col("n_pollution"))
-    )
+    return joined_hours(traffic_hours(traffic), pollution_hours(pollution))
+
+
+def joined_hours(traffic, pollution):
+    pairs = F.col("n_traffic").cast("double") * F.col("n_pollution")
+    return traffic.join(pollution, HOUR, "inner").withColumn("pairs", pairs)
 
 
 def pair_totals(hours, *keys):
@@ -144,7 +145,12 @@ def fit(rows):
 
 def train_on_pairs(traffic, pollution, min_rows=MIN_ROWS):
     """The fitted model, or None when fewer than ``min_rows`` pairs exist."""
-    hours = paired_hours(traffic, pollution).persist(StorageLevel.MEMORY_AND_DISK)
+    return train_on_hours(traffic_hours(traffic), pollution_hours(pollution), min_rows)
+
+
+def train_on_hours(traffic, pollution, min_rows=MIN_ROWS):
+    """The same from the hours of both feeds."""
+    hours = joined_hours(traffic, pollution).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if (pair_totals(hours).first()["pairs"] or 0) < min_rows:
             return None

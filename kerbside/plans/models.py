@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 from kerbside import schemas
 from kerbside.functions.rules import alert_level
 from kerbside.operators import kpis as kpi_ops
-from kerbside.operators import layers, scoring, serving, training
+from kerbside.operators import layers, moments, scoring, serving, training
 from kerbside.plans import batch, feeds, streams
 from kerbside.session import workspace
 from kerbside.sources.datasets import read_silver
 from kerbside.sources.topics import read_message_files
 from kerbside.streaming.gold import start_gold, table_sink, windows
+from kerbside.streaming.layers import start_moments
 from kerbside.streaming.triggers import ONCE
 
 DIGITS = 6
@@ -44,6 +45,20 @@ def model_coefficients(spark, sf_dir):
     return _line(spark, scoring.LatestModel(spark, path).get())
 
 
+def model_incremental(spark, sf_dir):
+    """The same model from sums that a stream over the cleaned feeds kept up to date, merged in between."""
+    root = workspace(spark, "moments")
+
+    def update(paths):
+        for feed in streams.FEEDS:
+            start_moments(spark, paths[feed], feed, f"{root}/sums", f"{root}/progress_{feed}", ONCE).awaitTermination()
+            moments.merge(spark, f"{root}/sums", feed)
+
+    streams.silver_in_halves(spark, sf_dir, update)
+    scoring.save(moments.train(spark, f"{root}/sums"), f"{root}/model")
+    return _line(spark, scoring.LatestModel(spark, f"{root}/model").get())
+
+
 def model_window_coefficients(spark, sf_dir):
     """The model trained on hourly windows in place of event pairs."""
     kpi = batch.kpi(feeds.read_events(spark, sf_dir), "1 hour")

@@ -153,12 +153,17 @@ def _with(*parts, select):
     return f"WITH {', '.join(parts)} {select}"
 
 
+def _digest(line, at):
+    """48 bits of each line's hash, added up."""
+    return f"CAST(sum(CAST('0x' || substr(md5({line}), {at}, 12) AS BIGINT)) AS VARCHAR)"
+
+
 def _sensor_counts(feed, *fields):
     line = f"concat_ws('|', sensor_id, district, {', '.join(fields)}, {STAMP.format('event_time')})"
     return f"""SELECT '{feed}' AS feed, sensor_id, count(*) AS messages, count(*) AS dated,
                {STAMP.format('min(event_time)')} AS first_timestamp,
                {STAMP.format('max(event_time)')} AS last_timestamp,
-               md5(string_agg({line}, chr(10) ORDER BY {line})) AS payloads
+               {_digest(line, 1)} || '-' || {_digest(line, 13)} AS payloads
         FROM {feed} GROUP BY ALL"""
 
 
@@ -178,6 +183,16 @@ def sql():
                    FROM told
                    WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}""",
     )
+    hourly_means = _with(
+        FEEDS,
+        select="""
+        SELECT t.district, t.hour, mean_speed, mean_pm25
+        FROM (SELECT district, date_trunc('hour', event_time) AS hour,
+                     avg(speed_kmh) AS mean_speed FROM traffic GROUP BY ALL) t
+        JOIN (SELECT district, date_trunc('hour', event_time) AS hour,
+                     avg(pm25) AS mean_pm25 FROM pollution GROUP BY ALL) p
+          ON t.district = p.district AND t.hour = p.hour""",
+    )
     return {
         "bronze_ingest": _with(
             FEEDS,
@@ -255,6 +270,7 @@ def sql():
                       FROM pairs GROUP BY ALL""",
         ),
         "model_coefficients": _with(FEEDS, PAIRS, PAIR_LINE, select=LINE),
+        "model_incremental": _with(FEEDS, PAIRS, PAIR_LINE, select=LINE),
         "model_window_coefficients": _with(
             *hourly,
             """complete AS (SELECT * FROM kpi WHERE avg_speed IS NOT NULL
@@ -314,14 +330,6 @@ def sql():
                        WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}
                          AND (window_end <= {FIRST_RUN} OR window_end > {CUT})""",
         ),
-        "history_sql": _with(
-            FEEDS,
-            select="""
-            SELECT t.district, t.hour, mean_speed, mean_pm25
-            FROM (SELECT district, date_trunc('hour', event_time) AS hour,
-                         avg(speed_kmh) AS mean_speed FROM traffic GROUP BY ALL) t
-            JOIN (SELECT district, date_trunc('hour', event_time) AS hour,
-                         avg(pm25) AS mean_pm25 FROM pollution GROUP BY ALL) p
-              ON t.district = p.district AND t.hour = p.hour""",
-        ),
+        "history_sql": hourly_means,
+        "history_packed": hourly_means,
     }

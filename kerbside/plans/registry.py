@@ -20,6 +20,7 @@ QUERIES = {
     "alert_summary": batch.alert_summary,
     "training_pairs": batch.training_pairs,
     "model_coefficients": models.model_coefficients,
+    "model_incremental": models.model_incremental,
     "model_window_coefficients": models.model_window_coefficients,
     "kpi_predicted": models.kpi_predicted,
     "kpi_predicted_high": models.kpi_predicted_high,
@@ -32,4 +33,5 @@ QUERIES = {
     "gold_retrained": models.gold_retrained,
     "gaps_served": models.gaps_served,
     "history_sql": streams.history_sql,
+    "history_packed": streams.history_packed,
 }

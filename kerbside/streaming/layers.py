@@ -5,6 +5,8 @@ sink commits whole micro-batches, so restarts neither lose nor repeat a message.
 shuffles: tasks write what they read, whatever district it is for.
 """
 
+from kerbside import schemas
+from kerbside.operators import moments
 from kerbside.operators.layers import to_bronze, to_rejects, to_silver, with_day
 from kerbside.streaming.triggers import trigger
 
@@ -41,3 +43,16 @@ def start_silver(
 
 def start_rejects(messages, schema, path, checkpoint, every="10 minutes", name=None):
     return _start(to_rejects(messages, schema), "json", path, checkpoint, [], every, name)
+
+
+def start_moments(spark, silver, feed, path, checkpoint, every="1 minute", name=None):
+    """Add new events of a silver dataset to the sums that training takes; no event is read twice."""
+    rows = spark.readStream.schema(schemas.SILVER[feed]).parquet(silver)
+    writer = (
+        rows.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**trigger(every))
+        .foreachBatch(lambda batch, batch_id: moments.add_batch(batch, batch_id, path, feed, checkpoint))
+    )
+    if name:
+        writer = writer.queryName(name)
+    return writer.start()

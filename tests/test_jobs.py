@@ -5,6 +5,7 @@ import pytest
 from helpers import pollution, send, traffic
 from kerbside import jobs, session
 from kerbside.operators import serving
+from kerbside.operators.packing import read_history
 from kerbside.sources.datasets import read_bronze, read_silver
 
 
@@ -97,12 +98,30 @@ def test_training_guard(spark, city, capsys):
     assert "No model" in capsys.readouterr().out
 
 
-def test_pack(spark, city):
+def test_pack(spark, city, capsys):
     argv = ["pack", "--silver", f"{city}/silver", "--output", f"{city}/packed"]
     jobs.main([*argv, "--before", "2024-01-02"], spark)
-    packed = read_silver(spark, f"{city}/packed/traffic", "traffic")
+    packed = read_history(spark, f"{city}/nothing", f"{city}/packed/traffic", "traffic")
     stored = read_silver(spark, f"{city}/silver/traffic", "traffic")
     assert packed.exceptAll(stored).isEmpty() and stored.exceptAll(packed).isEmpty()
+    capsys.readouterr()
+    jobs.main(argv, spark)
+    assert "traffic: 0 files" in capsys.readouterr().out
+    sql = "SELECT count(*) AS n FROM silver_traffic"
+    argv = ["history", "--silver", f"{city}/silver", "--packed", f"{city}/packed", "--sql", sql]
+    assert jobs.main(argv, spark).first().n == 72
+
+
+def test_training_on_moments_and_on_packed_history(spark, city):
+    argv = ["moments", "--silver", f"{city}/silver", "--output", f"{city}/moments", "--checkpoint", f"{city}/progress", "--once"]
+    jobs.main(argv, spark)
+    jobs.main(argv, spark)
+    first = jobs.main(f"train --silver {city}/silver --model {city}/m1".split(), spark).stages[-1]
+    for more in (f"--train-on moments --moments {city}/moments", f"--silver {city}/silver --packed {city}/packed"):
+        other = jobs.main(f"train {more} --model {city}/m2".split(), spark).stages[-1]
+        assert list(other.coefficients) == pytest.approx(list(first.coefficients)) and other.intercept == pytest.approx(first.intercept)
+    with pytest.raises(SystemExit):
+        jobs.main(f"train --model {city}/m3".split(), spark)
 
 
 def test_fold(spark, city):
