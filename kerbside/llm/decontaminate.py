@@ -79,17 +79,18 @@ def _hits(known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return maybe[same], np.bincount(at[same], minlength=len(known))
 
 
-_filters: dict[tuple, np.ndarray] = {}
+_filters: list[tuple[np.ndarray, np.ndarray]] = []  # of the last few tables, each with the table it is of
 
 
 def _filter(known: np.ndarray) -> np.ndarray:
     """A bit for each value of the first 20 bits that occurs."""
-    key = (len(known), int(known[0]), int(known[-1]), int(known[len(known) // 2]))
-    if key not in _filters:
-        bits = np.zeros(1 << 20, bool)
-        bits[(known >> T.u64(44)).astype(np.int64)] = True
-        _filters[key] = bits
-    return _filters[key]
+    for table, bits in _filters:
+        if table is known:
+            return bits
+    bits = np.zeros(1 << 20, bool)
+    bits[(known >> T.u64(44)).astype(np.int64)] = True
+    _filters[:] = [(known, bits), *_filters[:3]]
+    return bits
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int, int]:

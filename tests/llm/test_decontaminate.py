@@ -57,3 +57,13 @@ def test_edited_copies_of_an_item_in_a_third_of_short_rows(spark):
     bench = spark.createDataFrame([(1, " ".join(item)), (2, "quite short"), (3, "zyx")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(frame, bench).collect()}
     assert got == {(1000 + i, 1) for i in range(60)} | {(2000, 2), (2002, 3)}
+
+
+def test_seeds_of_two_tables():
+    """Two tables of one length that begin, end and are in the middle alike, one after the other in one process."""
+    one = np.sort(np.array([1, 5 << 44, 9 << 44, 12 << 44, 15 << 44], np.uint64))
+    other = one.copy()
+    other[1], other[3] = 7 << 44, 13 << 44
+    for known in (one, other, one.copy()):
+        places, counts = decontaminate._hits(known, np.r_[known, known[:2]])
+        assert len(places) == 7 and counts.tolist() == [2, 2, 1, 1, 1]
