@@ -7,7 +7,7 @@ Streaming jobs run until one of their queries ends, or over what is there with `
 import argparse
 
 from kerbside import schemas, session
-from kerbside.operators import history, kpis, moments, packing, scoring, serving, training
+from kerbside.operators import corrections, history, kpis, moments, packing, scoring, serving, training
 from kerbside.sources.datasets import read_silver
 from kerbside.sources.topics import read_message_files, read_topic
 from kerbside.streaming import gold, layers
@@ -153,6 +153,13 @@ def run_moments(spark, args):
     return queries
 
 
+def correct(spark, args):
+    traffic, pollution = [_history(spark, args, feed) for feed in FEEDS]
+    model = scoring.LatestModel(spark, args.model).get() if args.model else None
+    count = corrections.correct(spark, traffic, pollution, args.serving, model, args.width, args.since)
+    print(f"{count} windows corrected.")
+
+
 def fold(spark, args):
     serving.fold(spark, args.serving, args.before)
     serving.clean(spark, args.serving, args.keep_hours)
@@ -244,6 +251,15 @@ def _parser():
     job.add_argument("--rows-per-file", type=int, default=5_000_000)
     job.set_defaults(run=pack, streaming=False)
 
+    job = jobs.add_parser("correct", help="bring served windows up to date with events that came late")
+    job.add_argument("--silver", required=True)
+    job.add_argument("--packed", help="folder of packed history, which counts with the live one")
+    job.add_argument("--serving", required=True)
+    job.add_argument("--model")
+    job.add_argument("--width", default="1 minute")
+    job.add_argument("--since", help="first UTC day (yyyy-MM-dd)")
+    job.set_defaults(run=correct, streaming=False)
+
     job = jobs.add_parser("fold", help="gather closed days of the serving table into its base")
     job.add_argument("--serving", required=True)
     job.add_argument("--before", help="only windows before this UTC day (yyyy-MM-dd)")

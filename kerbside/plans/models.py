@@ -1,11 +1,12 @@
 """Registered queries around the model and the serving table."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from kerbside import schemas
 from kerbside.functions.rules import alert_level
 from kerbside.operators import kpis as kpi_ops
-from kerbside.operators import layers, moments, scoring, serving, training
+from kerbside.operators import corrections, layers, moments, scoring, serving, training
 from kerbside.plans import batch, feeds, streams
 from kerbside.session import workspace
 from kerbside.sources.datasets import read_silver
@@ -200,6 +201,75 @@ def _two_runs(spark, sf_dir, then, first_model=False):
     return _served(spark, f"{root}/serving")
 
 
+def gold_reloaded(spark, sf_dir):
+    """One run of several micro-batches, which takes up a model that is saved between two of them.
+
+    The first batch with closed windows has the model of the early events; when it is served,
+    the model of all events is saved, and the windows of the batches after it have that one.
+    """
+    events, *parts = feeds.halves(spark, sf_dir)
+    root = workspace(spark, "reload")
+    for part in parts:  # a file for each half, and a micro-batch for each file
+        for feed in streams.FEEDS:
+            sent = feeds.messages(events.where(part), feed).coalesce(1)
+            sent.write.mode("append").parquet(f"{root}/{feed}")
+    kpi = windows(
+        *[read_message_files(spark, f"{root}/{feed}", maxFilesPerTrigger=1) for feed in streams.FEEDS],
+        width="1 hour",
+    )
+    trained(spark, events.where(parts[0]), f"{root}/model")
+    served, table = [], table_sink(f"{root}/serving")
+
+    def sink(rows, batch_id, stream_id):
+        table(rows, batch_id, stream_id)
+        if not served:
+            trained(spark, events, f"{root}/model")
+        served.append(batch_id)
+
+    start_gold(kpi, sink, f"{root}/progress", f"{root}/model", ONCE).awaitTermination()
+    return _served(spark, f"{root}/serving")
+
+
+def gold_crashed(spark, sf_dir):
+    """The gold job that ends between the write of a batch and its commit, and is started again."""
+    root = workspace(spark, "crash")
+    trained(spark, feeds.read_events(spark, sf_dir), f"{root}/model")
+    table = table_sink(f"{root}/serving")
+
+    def run(sink):
+        kpi = streams.stream_kpis(spark, sf_dir, "1 hour")
+        start_gold(kpi, sink, f"{root}/progress", f"{root}/model", ONCE).awaitTermination()
+
+    def failing(rows, batch_id, stream_id):
+        table(rows, batch_id, stream_id)
+        raise InterruptedError("after the write, before the commit")
+
+    try:
+        run(failing)
+    except StreamingQueryException:
+        run(table_sink(f"{root}/serving"))
+    return _served(spark, f"{root}/serving")
+
+
+def late_corrected(spark, sf_dir):
+    """Events that come after their windows have closed, and the table once it is corrected by the history.
+
+    The first run sees all event types but two, the second only those two.
+    """
+    events = feeds.read_events(spark, sf_dir)
+    overdue = F.col("event_type").isin("error", "signup")
+    root = workspace(spark, "corrected")
+    for part in (~overdue, overdue):
+        for feed in streams.FEEDS:
+            feeds.messages(events.where(part), feed).write.mode("append").parquet(f"{root}/{feed}")
+        sent = [read_message_files(spark, f"{root}/{feed}") for feed in streams.FEEDS]
+        kpi = windows(*sent, width="1 hour")
+        start_gold(kpi, table_sink(f"{root}/serving"), f"{root}/progress", None, ONCE).awaitTermination()
+    sides = [batch.silver(events, feed) for feed in streams.FEEDS]
+    corrections.correct(spark, *sides, f"{root}/serving", width="1 hour")
+    return _served(spark, f"{root}/serving")
+
+
 def gaps_served(spark, sf_dir):
     """Feeds with missing districts, measures and times: trained on, scored and served."""
     events = feeds.read_events(spark, sf_dir)

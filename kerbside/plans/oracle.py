@@ -183,6 +183,28 @@ def sql():
                    FROM told
                    WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}""",
     )
+    gold = _with(
+        *hourly,
+        PAIRS,
+        PAIR_LINE,
+        SCORED,
+        select=f"""{SERVED_COLUMNS} WHERE district IS NOT NULL
+                   AND window_end <= {ONE_WATERMARK}""",
+    )
+    retrained = _with(
+        *hourly,
+        PAIRS,
+        PAIR_LINE,
+        _pairs("early_pairs", f"t.event_time < {CUT} AND p.event_time < {CUT}"),
+        _ridge("early_pairs", "speed_kmh", "vehicle_count", "pm25", "early_line"),
+        f"""scored AS (
+            SELECT kpi.*, CASE WHEN window_end <= {FIRST_RUN}
+                THEN e.c0 + e.c1 * avg_speed + e.c2 * max_density
+                ELSE l.c0 + l.c1 * avg_speed + l.c2 * max_density END AS predicted_pm25
+            FROM kpi, line l, early_line e)""",
+        select=f"""{SERVED_COLUMNS} WHERE district IS NOT NULL
+                   AND window_end <= {ONE_WATERMARK}""",
+    )
     hourly_means = _with(
         FEEDS,
         select="""
@@ -213,6 +235,7 @@ def sql():
                       FROM traffic""",
         ),
         "silver_pollution": _with(FEEDS, select=pollution_rows),
+        "silver_replayed": _with(FEEDS, select=pollution_rows),
         "parse_rejects": _with(
             FEEDS,
             select="""
@@ -289,29 +312,11 @@ def sql():
             select="""SELECT window_end, avg_pm25, predicted_pm25 FROM served
                       WHERE district = 'Centre' ORDER BY window_end DESC""",
         ),
-        "gold_serving": _with(
-            *hourly,
-            PAIRS,
-            PAIR_LINE,
-            SCORED,
-            select=f"""{SERVED_COLUMNS} WHERE district IS NOT NULL
-                       AND window_end <= {ONE_WATERMARK}""",
-        ),
+        "gold_serving": gold,
+        "gold_crashed": gold,
         "gold_two_runs": two_runs,
-        "gold_retrained": _with(
-            *hourly,
-            PAIRS,
-            PAIR_LINE,
-            _pairs("early_pairs", f"t.event_time < {CUT} AND p.event_time < {CUT}"),
-            _ridge("early_pairs", "speed_kmh", "vehicle_count", "pm25", "early_line"),
-            f"""scored AS (
-                SELECT kpi.*, CASE WHEN window_end <= {FIRST_RUN}
-                    THEN e.c0 + e.c1 * avg_speed + e.c2 * max_density
-                    ELSE l.c0 + l.c1 * avg_speed + l.c2 * max_density END AS predicted_pm25
-                FROM kpi, line l, early_line e)""",
-            select=f"""{SERVED_COLUMNS} WHERE district IS NOT NULL
-                       AND window_end <= {ONE_WATERMARK}""",
-        ),
+        "gold_retrained": retrained,
+        "gold_reloaded": retrained,
         "gaps_served": _with(
             _feeds(_gaps),
             _kpi("1 hour"),
@@ -321,6 +326,13 @@ def sql():
             select=f"{SERVED_COLUMNS} WHERE district IS NOT NULL",
         ),
         "serving_folded": two_runs,
+        "late_corrected": _with(
+            *hourly,
+            select=f"""SELECT district, window_end, avg_speed, max_density, avg_pm25,
+                              CAST(NULL AS DOUBLE) AS predicted_pm25, alert_level,
+                              'NORMAL' AS alert_predicted
+                       FROM kpi WHERE district IS NOT NULL AND window_end <= {ONE_WATERMARK}""",
+        ),
         "gold_new_checkpoint": _with(
             *hourly,
             select=f"""SELECT district, window_end, avg_speed, max_density, avg_pm25,

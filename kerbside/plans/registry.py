@@ -7,6 +7,7 @@ QUERIES = {
     "silver_from_bronze": streams.silver_from_bronze,
     "silver_traffic": streams.silver_query("traffic"),
     "silver_pollution": streams.silver_query("pollution"),
+    "silver_replayed": streams.silver_replayed,
     "parse_rejects": batch.parse_rejects,
     "parse_faults": batch.parse_faults,
     "reject_stream": streams.reject_stream,
@@ -31,6 +32,9 @@ QUERIES = {
     "gold_new_checkpoint": models.gold_new_checkpoint,
     "serving_folded": models.serving_folded,
     "gold_retrained": models.gold_retrained,
+    "gold_reloaded": models.gold_reloaded,
+    "gold_crashed": models.gold_crashed,
+    "late_corrected": models.late_corrected,
     "gaps_served": models.gaps_served,
     "history_sql": streams.history_sql,
     "history_packed": streams.history_packed,

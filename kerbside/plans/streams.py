@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from kerbside import schemas
 from kerbside.operators import history, layers, packing
-from kerbside.operators.commits import Log
+from kerbside.operators.commits import Log, Store
 from kerbside.plans import feeds
 from kerbside.plans.batch import kpi_columns, ntz
 from kerbside.session import workspace
@@ -113,6 +113,23 @@ def silver_query(feed):
     return query
 
 
+def silver_replayed(spark, sf_dir):
+    """The pollution dataset of a stream that ended after its sink's commit and before its own, started again."""
+    root = workspace(spark, "replay")
+
+    def run():
+        sent = streamed_messages(spark, sf_dir, "pollution")
+        start_silver(sent, schemas.POLLUTION, f"{root}/rows", f"{root}/progress", ONCE).awaitTermination()
+
+    run()
+    progress = Store(spark, f"{root}/progress/commits")
+    for name in progress.files_in(""):
+        progress.remove(name)
+    run()
+    rows = read_silver(spark, f"{root}/rows", "pollution")
+    return rows.withColumn("event_time", ntz("event_time"))
+
+
 HISTORY_SQL = """
         SELECT t.district, CAST(t.hour AS TIMESTAMP_NTZ) AS hour, t.mean_speed, p.mean_pm25
         FROM (SELECT district, date_trunc('hour', event_time) AS hour, avg(speed_kmh) AS mean_speed

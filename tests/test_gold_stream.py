@@ -4,8 +4,10 @@ import random
 
 import pytest
 
-from helpers import pollution, send, traffic
-from kerbside.operators import scoring, serving
+from helpers import messages, pollution, send, traffic
+from kerbside import schemas
+from kerbside.operators import corrections, scoring, serving
+from kerbside.operators.layers import to_silver
 from kerbside.sources.topics import read_message_files
 from kerbside.streaming.gold import start_gold, start_windows, store_sink, table_sink, windows
 from kerbside.streaming.triggers import ONCE
@@ -199,3 +201,44 @@ def test_batch_written_before_a_crash_is_replayed_in_place(spark, folder):
     feeds.run([traffic("00:05:10")])
     assert feeds.served() == before
     assert serving.read_log(spark, f"{folder}/serving").count() == 2
+
+
+def test_late_events_are_corrected_from_history(spark, folder):
+    """A late event of a window served, one of a district without a window, one of a window still open."""
+    feeds = Feeds(spark, folder)
+    sent = [[traffic("00:00:10", speed=40), pollution("00:00:20", pm25=10), traffic("00:05:00")], [traffic("00:00:30", speed=60), pollution("00:00:40", district="Nord", pm25=90), traffic("00:05:30"), traffic("00:01:00", district=None)]]
+    for rows in sent:
+        feeds.run([r for r in rows if "speed_kmh" in r], [r for r in rows if "pm25" in r])
+    assert {k: r.avg_speed for k, r in feeds.served().items()} == {("Centre", "00:01"): 40.0}
+    sides = [to_silver(messages(spark, [r for rows in sent for r in rows if key in r]), schemas.PAYLOADS[feed]) for feed, key in (("traffic", "speed_kmh"), ("pollution", "pm25"))]
+    assert corrections.correct(spark, *sides, f"{folder}/serving", since="2024-01-02") == 0
+    assert corrections.correct(spark, *sides, f"{folder}/serving", since="2024-01-01") == 2
+    rows = feeds.served()
+    assert {k: (r.avg_speed, r.avg_pm25, r.alert_level) for k, r in rows.items()} == {("Centre", "00:01"): (50.0, 10.0, "NORMAL"), ("Nord", "00:01"): (None, 90.0, "CRITIQUE")}
+    assert corrections.correct(spark, *sides, f"{folder}/serving") == 0
+    # The stream goes on, and what it repeats does not undo the correction.
+    feeds.run([traffic("00:08:00")])
+    assert feeds.served()["Centre", "00:01"].avg_speed == 50.0 and ("Centre", "00:06") in feeds.served()
+    assert corrections.correct(spark, *[s.limit(0) for s in sides], f"{folder}/none") == 0
+
+
+def test_a_model_saved_between_two_micro_batches(spark, folder):
+    """One query: the windows of a batch have the model that was there when it began."""
+    for minute in range(0, 40, 10):
+        send(spark, [traffic(f"00:{minute:02}:10", speed=10 + minute)], f"{folder}/traffic")
+    send(spark, [pollution("00:00:20")], f"{folder}/pollution")
+    seen = []
+    table = table_sink(f"{folder}/serving")
+
+    def sink(rows, batch_id, stream_id):
+        table(rows, batch_id, stream_id)
+        seen.append(batch_id)
+        if len(seen) == 1:
+            scoring.save(train(spark), f"{folder}/model")
+
+    kpi = windows(*[read_message_files(spark, f"{folder}/{feed}", maxFilesPerTrigger=1) for feed in ("traffic", "pollution")])
+    query = start_gold(kpi, sink, f"{folder}/progress", f"{folder}/model", ONCE)
+    query.awaitTermination()
+    assert len(seen) >= 2 and query.exception() is None
+    found = sorted(serving.current(spark, f"{folder}/serving").collect(), key=lambda r: r.window_end)
+    assert found[0].predicted_pm25 is None and found[-1].predicted_pm25 is not None
