@@ -2,13 +2,14 @@
 
 A text is a vector of hashed letter n-grams (1 to 3 letters of words in lower case, with word edges), as shares of the whole
 text. The family of its language is told first, by one linear support vector machine a family against the rest; within the family
-one machine a language against its relatives tells close languages apart. All machines are fitted on a bounded sample
-of documents whose language is known.
+one machine for each pair of languages votes for one of the two, so close languages are told apart by what differs between
+just these. All machines are fitted on a bounded sample of documents whose language is known.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from kerbside.llm.store import materialize
 
 SAMPLE = 1_000  # documents of each language that the machines are fitted on, about: a share by hash
-MOST_LANGUAGES = 200
+MOST_LANGUAGES = 200  # the most frequent ones are learned
 BITS = 11  # hashed n-grams
 PIECE = 1 << 18  # letters worked on at a time
 
@@ -82,31 +83,61 @@ class Machines:
         return self.names[best], float(odds[best] / odds.sum())
 
 
+class Pairs:
+    """Weights of one machine for each pair of classes, for the first of the two where its margin is positive."""
+
+    def __init__(self, names, pairs, weights, offsets):
+        self.names, self.pairs, self.weights, self.offsets = names, pairs, weights, offsets
+
+    def choose(self, x: np.ndarray) -> tuple[str, float]:
+        """The class with most votes, ties by the sum of margins and then by name; its odds against the closest other."""
+        if len(self.names) == 1:
+            return self.names[0], 1.0
+        votes, margins = np.zeros((2, len(self.names)))
+        odds = np.ones(len(self.names))
+        for (a, b), m in zip(self.pairs, self.weights @ x + self.offsets, strict=True):
+            votes[a if m >= 0 else b] += 1
+            margins[a] += m
+            margins[b] -= m
+            sure = 1 / (1 + np.exp(-np.clip(4 * m, -30, 30)))
+            odds[a], odds[b] = min(odds[a], sure), min(odds[b], 1 - sure)
+        best = max(range(len(self.names)), key=lambda i: (votes[i], margins[i], -i))
+        return self.names[best], float(odds[best])
+
+
 def _with_grams(batches):
     for batch in batches:
         rows = [(g, lang) for g, lang in ((grams(t), lang) for t, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True)) if g is not None]
         yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in rows], pa.list_(pa.float64())), pa.array([lang for _, lang in rows], pa.string())], ["grams", "lang"])
 
 
+def _svm(rows: DataFrame, label):
+    svm = LinearSVC(maxIter=25, regParam=1e-4, standardization=False).fit(rows.select("features", label.cast("double").alias("label")))
+    return svm.coefficients.toArray(), svm.intercept
+
+
 def _machines(rows: DataFrame, column: str, names: list[str]) -> Machines:
     if len(names) == 1:
         return Machines(names, None, None)
-    fitted = []
-    for name in names if len(names) > 2 else names[:1]:
-        label = rows.select("features", (F.col(column) == name).cast("double").alias("label"))
-        svm = LinearSVC(maxIter=25, regParam=1e-4, standardization=False).fit(label)
-        fitted.append((svm.coefficients.toArray(), svm.intercept))
+    fitted = [_svm(rows, F.col(column) == name) for name in (names if len(names) > 2 else names[:1])]
     if len(names) == 2:  # one against one other
         fitted.append((-fitted[0][0], -fitted[0][1]))
     return Machines(names, np.array([w for w, _ in fitted]), np.array([b for _, b in fitted]))
 
 
+def _pairs(rows: DataFrame, names: list[str]) -> Pairs:
+    """A machine for each pair of languages, fitted on the rows of the two."""
+    pairs = list(combinations(range(len(names)), 2))
+    fitted = [_svm(rows.where(F.col("lang").isin(names[a], names[b])), F.col("lang") == names[a]) for a, b in pairs]
+    return Pairs(names, pairs, np.array([w for w, _ in fitted]), np.array([b for _, b in fitted]))
+
+
 def held_out(doc_id):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
 class Model:
-    def __init__(self, families: Machines | None, languages: dict[str, Machines]):
+    def __init__(self, families: Machines | None, languages: dict[str, Pairs]):
         self.families, self.languages = families, languages
 
     def tell(self, text: str | None) -> tuple[str, float]:
@@ -119,11 +150,12 @@ class Model:
 
 
 def fit(docs: DataFrame, limit: int = SAMPLE) -> Model:
-    """Machines from about ``limit`` documents of each language (a share of them by a hash of the id), held-out ones excepted."""
+    """Machines from about ``limit`` documents of each language (a share of them by a hash of the id), held-out ones excepted.
+
+    Beyond MOST_LANGUAGES values of ``lang`` the rarer ones are not learned.
+    """
     known = docs.where(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counts = known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGUAGES).collect()
     if not counts:
         return Model(None, {})
     share = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, min(1.0, limit / r["count"]))))
@@ -136,7 +168,7 @@ def fit(docs: DataFrame, limit: int = SAMPLE) -> Model:
         return Model(None, {})
     told = F.create_map(*(F.lit(x) for f, langs in families.items() for lang in langs for x in (lang, f)))
     rows = rows.select(array_to_vector("grams").alias("features"), "lang", told[F.col("lang")].alias("family")).cache()
-    model = Model(_machines(rows, "family", sorted(families)), {f: _machines(rows.where(F.col("family") == f), "lang", langs) for f, langs in families.items()})
+    model = Model(_machines(rows, "family", sorted(families)), {f: _pairs(rows, langs) for f, langs in families.items()})
     rows.unpersist()
     return model
 

@@ -94,3 +94,31 @@ def test_stems_of_inflected_words(spark):
     got = toxicity.score(docs.where("doc_id < 700"), docs.selectExpr("doc_id", "label AS toxic")).collect()
     held = [r for r in got if r.held_out]
     assert sum(r.predicted == (r.doc_id % 6 < 2) for r in held) >= 0.95 * len(held) > 80
+
+
+def test_close_languages_by_pairs(spark, monkeypatch):
+    """Three languages of one family that share most syllables, one of another family, and a rare one beyond the limit."""
+    rng = random.Random(9)
+    shared = "er en sch ung der die".split()
+    own = {"de": ["keit", "zu"], "nl": ["ij", "oo"], "da": ["ae", "og"], "fr": ["eau", "tion", "que", "ment", "oi", "ré"], "xx": ["zz"]}
+    rows = []
+    for i in range(480):
+        lang = list(own)[i % 4] if i % 97 else "xx"
+        syllables = own[lang] + (shared if lang in ("de", "nl", "da") else [])
+        text = " ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(20, 60)))
+        rows.append((i, text, lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 4)
+    model = language.fit(docs)
+    germanic = model.languages["germanic"]
+    assert germanic.names == ["da", "de", "nl"] and germanic.pairs == [(0, 1), (0, 2), (1, 2)] and "xx" not in model.languages
+    for _, text, lang in rows[:60]:  # against plain votes
+        x = language.grams(text)
+        votes = {n: 0 for n in germanic.names}
+        for (a, b), w, c in zip(germanic.pairs, germanic.weights, germanic.offsets, strict=True):
+            votes[germanic.names[a] if sum(p * q for p, q in zip(w, x, strict=True)) + c >= 0 else germanic.names[b]] += 1
+        if max(votes.values()) == 2:
+            assert germanic.choose(x)[0] == max(votes, key=votes.get)
+    held = [r for r in language.identify(docs).collect() if r.held_out and rows[r.doc_id][2] != "xx"]
+    assert sum(r.lang_pred == rows[r.doc_id][2] for r in held) >= 0.95 * len(held) > 50
+    assert all(0 <= r.score <= 1 for r in held)
