@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from kerbside.llm.store import materialize
 from kerbside.llm.text import LOWER, chain, flat, mix, pieces, prefix_hash, span_hash
 
-PIECE = 1 << 23  # bytes of text counted at a time
+PIECE = 1 << 21  # bytes of text counted at a time, in about fifty times the memory
 LEAST = 10  # occurrences of a phrase
 STRIPE = 1 << 20  # words that one stripe counts, about, where its prefix is frequent
 SHARE = 200_000
