@@ -79,6 +79,7 @@ def run_gold(spark, args):
         args.watermark,
         args.watermark_per_feed,
         metrics="gold",
+        idle=args.idle,
     )
     if args.store:
         sink = gold.store_sink(args.store, **_options(args.store_option))
@@ -205,6 +206,7 @@ def _parser():
     job.add_argument("--width", default="1 minute")
     job.add_argument("--watermark", default="1 minute")
     job.add_argument("--watermark-per-feed", action="store_true")
+    job.add_argument("--idle", help="how far behind a feed may be before windows close without it")
     job.add_argument("--model")
     sink = job.add_mutually_exclusive_group(required=True)
     sink.add_argument("--serving", help="folder of the serving table")

@@ -27,15 +27,37 @@ def pollution_events(rows):
     )
 
 
-def unify(traffic, pollution, watermark=None, per_feed=False):
+def with_idle_watermark(events, watermark, others, idle):
+    """A watermark on ``events`` that moves on while they are silent and ``others(time)`` are not.
+
+    The other feed's times less ``idle`` pass through the watermark as rows of their own and are
+    left out right behind it, so it follows the newest of both. The comparison that leaves them
+    out names the event time, hence the optimizer keeps it above the watermark.
+    """
+    beats = others.select((F.col("time") - F.expr(f"INTERVAL {idle}")).alias("time"))
+    marked = events.withColumn("own_time", F.col("time")).unionByName(beats, allowMissingColumns=True)
+    kept = marked.withWatermark("time", watermark).where(F.col("own_time").eqNullSafe(F.col("time")))
+    return kept.drop("own_time")
+
+
+def unify(traffic, pollution, watermark=None, per_feed=False, idle=None, clocks=None):
     """All events of both feeds, each padded with nulls for what only the other measures.
 
     One ``watermark`` over the merged stream follows the faster feed, so a stalled feed
     loses rows. ``per_feed`` sets one on each side: the slower feed then decides, and a
-    stopped feed holds the output back.
+    stopped feed holds the output back. With ``idle``, such as "10 minutes", a feed that far
+    behind the other counts as silent, and the output goes on at that distance; what it sends
+    later for windows that are out by then is late. This reads each feed a second time, for its
+    times only; ``clocks`` are these readings, of both feeds, where the given rows don't serve.
     """
     left, right = traffic_events(traffic), pollution_events(pollution)
-    if watermark and per_feed:
+    if watermark and per_feed and idle:
+        left_times, right_times = [rows.select(F.col("event_time").alias("time")) for rows in clocks or (traffic, pollution)]
+        left, right = (
+            with_idle_watermark(left, watermark, right_times, idle),
+            with_idle_watermark(right, watermark, left_times, idle),
+        )
+    elif watermark and per_feed:
         left, right = left.withWatermark("time", watermark), right.withWatermark("time", watermark)
     merged = left.unionByName(right)
     if watermark and not per_feed:
@@ -43,7 +65,7 @@ def unify(traffic, pollution, watermark=None, per_feed=False):
     return merged
 
 
-def unify_messages(traffic, pollution, watermark=None, per_feed=False, metrics=None):
+def unify_messages(traffic, pollution, watermark=None, per_feed=False, metrics=None, idle=None):
     """``unify`` from raw messages, parsing no more than the KPIs need.
 
     With ``metrics`` the quality counts of each feed are observed as ``<metrics>_<feed>``;
@@ -54,7 +76,8 @@ def unify_messages(traffic, pollution, watermark=None, per_feed=False, metrics=N
         schema = schemas.KPI_PAYLOADS[feed]
         rows = parse(decode(messages), schema)
         sides.append(observe_quality(rows, schema, f"{metrics}_{feed}") if metrics else rows)
-    return unify(*sides, watermark, per_feed)
+    clocks = [parse(decode(messages), schemas.CLOCK) for messages in (traffic, pollution)] if idle else None
+    return unify(*sides, watermark, per_feed, idle, clocks)
 
 
 def kpis(events, width="1 minute"):

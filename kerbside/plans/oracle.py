@@ -66,9 +66,11 @@ def _watermark(newest):
 
 
 ONE_WATERMARK = f"(SELECT {_watermark('max(time)')} FROM unified)"
-TWO_WATERMARKS = f"""(SELECT {_watermark('least(t.newest, p.newest)')}
-    FROM (SELECT max(time) AS newest FROM lagging WHERE event_type IN ({_names(TRAFFIC_TYPES)})) t,
-         (SELECT max(time) AS newest FROM lagging WHERE event_type NOT IN ({_names(TRAFFIC_TYPES)})) p)"""
+NEWEST = f"""(SELECT max(time) AS newest FROM lagging WHERE event_type IN ({_names(TRAFFIC_TYPES)})) t,
+         (SELECT max(time) AS newest FROM lagging WHERE event_type NOT IN ({_names(TRAFFIC_TYPES)})) p"""
+TWO_WATERMARKS = f"(SELECT {_watermark('least(t.newest, p.newest)')} FROM {NEWEST})"
+SILENT = "least(t.newest, p.newest), greatest(t.newest, p.newest) - INTERVAL '2 days'"
+IDLE_WATERMARK = f"(SELECT {_watermark(f'greatest({SILENT})')} FROM {NEWEST})"
 
 OVERDUE = "('error', 'signup')"
 IN_TIME = f"""
@@ -171,6 +173,8 @@ def sql():
     hourly = (FEEDS, _kpi("1 hour"))
     pollution_rows = "SELECT sensor_id, pm25, co2, event_time, district FROM pollution"
     closed = f"SELECT {KPI_COLUMNS} FROM kpi WHERE window_end <= {ONE_WATERMARK}"
+    lagging = f"""lagging AS (SELECT * FROM unified
+                            WHERE event_type IN ({_names(TRAFFIC_TYPES)}) OR time < {CUT})"""
     two_runs = _with(
         *hourly,
         PAIRS,
@@ -273,11 +277,16 @@ def sql():
         "kpi_stream_1h": _with(*hourly, select=closed),
         "kpi_stream_two_watermarks": _with(
             FEEDS,
-            f"""lagging AS (SELECT * FROM unified
-                            WHERE event_type IN ({_names(TRAFFIC_TYPES)}) OR time < {CUT})""",
+            lagging,
             _kpi("1 hour", "lagging"),
             select=f"SELECT {KPI_COLUMNS} FROM kpi WHERE window_end <= {TWO_WATERMARKS}",
         ),
+        "kpi_stream_idle": _with(
+            FEEDS,
+            lagging,
+            _kpi("1 hour", "lagging"),
+            select=f"SELECT {KPI_COLUMNS} FROM kpi WHERE window_end <= {IDLE_WATERMARK}",
+        ),
         "kpi_stream_late": _with(FEEDS, IN_TIME, _kpi("1 hour", "in_time"), select=closed),
         "alert_summary": _with(
             *hourly,

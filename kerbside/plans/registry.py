@@ -17,6 +17,7 @@ QUERIES = {
     "kpi_stream_1m": streams.kpi_stream_query("1 minute"),
     "kpi_stream_1h": streams.kpi_stream_query("1 hour"),
     "kpi_stream_two_watermarks": streams.kpi_stream_two_watermarks,
+    "kpi_stream_idle": streams.kpi_stream_idle,
     "kpi_stream_late": streams.kpi_stream_late,
     "alert_summary": batch.alert_summary,
     "training_pairs": batch.training_pairs,

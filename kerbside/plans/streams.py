@@ -207,6 +207,14 @@ def kpi_stream_two_watermarks(spark, sf_dir):
     return _closed_windows(spark, windows(*sides, width="1 hour", per_feed=True))
 
 
+def kpi_stream_idle(spark, sf_dir):
+    """The same, but pollution counts as silent when it is two days behind: traffic windows go on."""
+    _, early, _ = feeds.halves(spark, sf_dir)
+    events = feeds.stream_events(spark, sf_dir)
+    sides = [feeds.messages(events, "traffic"), feeds.messages(events.where(early), "pollution")]
+    return _closed_windows(spark, windows(*sides, width="1 hour", per_feed=True, idle="2 days"))
+
+
 def kpi_stream_late(spark, sf_dir):
     """A stream stopped and resumed, where the second run brings events that are long overdue.
 

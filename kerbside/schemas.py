@@ -42,6 +42,9 @@ KPI_PAYLOADS = {
     "pollution": StructType([POLLUTION[name] for name in ("district", "pm25", "timestamp")]),
 }
 
+# What tells how far a feed has come.
+CLOCK = StructType([TRAFFIC["timestamp"]])
+
 # Datasets at rest. The partition column comes last, as Spark reads it back.
 BRONZE = _struct(
     json_payload=StringType, ingestion_time=TimestampType, ingestion_date=StringType

@@ -16,10 +16,10 @@ from kerbside.streaming.triggers import trigger
 
 
 def windows(
-    traffic, pollution, width="1 minute", watermark="1 minute", per_feed=False, metrics=None
+    traffic, pollution, width="1 minute", watermark="1 minute", per_feed=False, metrics=None, idle=None
 ):
     """KPI rows from two message streams. Each window comes out once, when it has closed."""
-    return kpis(unify_messages(traffic, pollution, watermark, per_feed, metrics), width)
+    return kpis(unify_messages(traffic, pollution, watermark, per_feed, metrics, idle), width)
 
 
 def table_sink(path):

@@ -91,6 +91,25 @@ def test_stalled_feed(spark, folder, per_feed):
     assert row.avg_pm25 == (60.0 if per_feed else 30.0)
 
 
+def test_windows_go_on_without_a_silent_feed(spark, folder):
+    """A feed three minutes behind no longer holds the output; what it still sends in time counts."""
+    feeds = Feeds(spark, folder, per_feed=True, idle="3 minutes", metrics="gold")
+    feeds.run([traffic("00:00:10"), traffic(None), traffic("00:06:30")], [pollution("00:00:05")])
+    # The newest traffic less three minutes and the delay: 00:02:30.
+    assert set(feeds.served()) == {("Centre", "00:01")}
+    late = [pollution("00:00:50", pm25=90), pollution("00:02:40", pm25=70), pollution(None)]
+    query = feeds.run([traffic("00:06:40")], late)
+    assert dropped(query) == 1
+    # Also after a restart in which that feed sends nothing at all.
+    feeds.run([traffic("00:20:00")])
+    rows = feeds.served()
+    assert sorted(end for _, end in rows) == ["00:01", "00:03", "00:07"]
+    assert rows["Centre", "00:03"].avg_pm25 == 70.0 and rows["Centre", "00:01"].avg_pm25 == 30.0
+    assert rows["Centre", "00:07"].avg_pm25 is None
+    counts = [p.observedMetrics["gold_pollution"] for p in query.recentProgress if p.observedMetrics.get("gold_pollution")]
+    assert sum(c.messages for c in counts) == 3 and sum(c.untimed for c in counts) == 1
+
+
 def test_bad_messages_are_counted_and_do_not_stop_the_stream(spark, folder):
     feeds = Feeds(spark, folder, metrics="gold")
     bad = ["not json", None, {**traffic(), "timestamp": "bad"}, traffic(time=None)]
