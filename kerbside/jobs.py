@@ -11,6 +11,7 @@ from kerbside.operators import corrections, history, kpis, moments, packing, sco
 from kerbside.sources.datasets import read_silver
 from kerbside.sources.topics import read_message_files, read_topic
 from kerbside.streaming import gold, layers
+from kerbside.streaming.carry import carry, windows_from
 from kerbside.streaming.triggers import ONCE, wait
 
 FEEDS = list(schemas.PAYLOADS)
@@ -73,14 +74,11 @@ def silver(spark, args):
 
 
 def run_gold(spark, args):
-    rows = gold.windows(
-        *[_messages(spark, args, feed) for feed in FEEDS],
-        args.width,
-        args.watermark,
-        args.watermark_per_feed,
-        metrics="gold",
-        idle=args.idle,
-    )
+    messages = [_messages(spark, args, feed) for feed in FEEDS]
+    if args.carried:
+        rows = windows_from(args.carried, *messages, args.width, args.watermark, "gold")
+    else:
+        rows = gold.windows(*messages, args.width, args.watermark, args.watermark_per_feed, "gold", args.idle)
     if args.store:
         sink = gold.store_sink(args.store, **_options(args.store_option))
     else:
@@ -88,6 +86,11 @@ def run_gold(spark, args):
     return [gold.start_gold(rows, sink, args.checkpoint, args.model, _every(args), "gold")]
 
 
+def carry_windows(spark, args):
+    for position in carry(spark, args.checkpoint, args.output, args.watermark):
+        print(position)
+
+
 def train(spark, args):
     if args.train_on == "moments":
         model = moments.train(spark, args.moments, args.min_rows)
@@ -205,7 +208,9 @@ def _parser():
     _stream_arguments(job, "30 seconds")
     job.add_argument("--width", default="1 minute")
     job.add_argument("--watermark", default="1 minute")
-    job.add_argument("--watermark-per-feed", action="store_true")
+    clock = job.add_mutually_exclusive_group()
+    clock.add_argument("--watermark-per-feed", action="store_true")
+    clock.add_argument("--carried", help="open windows of a stopped gold job, from the job carry")
     job.add_argument("--idle", help="how far behind a feed may be before windows close without it")
     job.add_argument("--model")
     sink = job.add_mutually_exclusive_group(required=True)
@@ -214,6 +219,12 @@ def _parser():
     job.add_argument("--store-option", action="append", default=[], metavar="KEY=VALUE")
     job.set_defaults(run=run_gold, streaming=True)
 
+    job = jobs.add_parser("carry", help="open windows of a stopped gold job, for one with another checkpoint")
+    job.add_argument("--checkpoint", required=True, help="of the stopped job")
+    job.add_argument("--watermark", default="1 minute", help="of the stopped job")
+    job.add_argument("--output", required=True)
+    job.set_defaults(run=carry_windows, streaming=False)
+
     job = jobs.add_parser("moments", help="keep the sums that training takes up to date")
     job.add_argument("--silver", required=True)
     job.add_argument("--output", required=True)

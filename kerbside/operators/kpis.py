@@ -86,18 +86,18 @@ def kpis(events, width="1 minute"):
     Each task first folds its rows to one per window and district, so the exchange carries
     as many rows as there are groups, however many events a district has.
     """
-    return (
-        events.groupBy(F.window("time", width), "district")
-        .agg(
-            F.avg("speed_kmh").alias("avg_speed"),
-            F.max("density").alias("max_density"),
-            F.avg("pm25").alias("avg_pm25"),
-        )
-        .withColumns(
-            {
-                "window_end": F.col("window.end"),
-                "alert_level": alert_level(F.col("avg_pm25")),
-                "has_pm25": F.col("avg_pm25").isNotNull(),
-            }
-        )
+    groups = events.groupBy(F.window("time", width), "district")
+    return kpi_measures(groups, F.avg("speed_kmh"), F.max("density"), F.avg("pm25"))
+
+
+def kpi_measures(groups, avg_speed, max_density, avg_pm25):
+    """The KPI columns of rows grouped by window and district."""
+    return groups.agg(
+        avg_speed.alias("avg_speed"), max_density.alias("max_density"), avg_pm25.alias("avg_pm25")
+    ).withColumns(
+        {
+            "window_end": F.col("window.end"),
+            "alert_level": alert_level(F.col("avg_pm25")),
+            "has_pm25": F.col("avg_pm25").isNotNull(),
+        }
     )

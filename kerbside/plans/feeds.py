@@ -43,11 +43,12 @@ def instant():
     return F.col("ts").cast("timestamp")
 
 
-def halves(spark, sf_dir):
-    """Events, and conditions for those up to the day in the middle and for the rest."""
+def halves(spark, sf_dir, after="0 minutes"):
+    """Events, and conditions for those up to ``after`` the day in the middle begins and for the rest."""
     events = read_events(spark, sf_dir)
     middle = (F.unix_seconds(F.min(instant())) + F.unix_seconds(F.max(instant()))) / 2
     cut = events.select(F.date_trunc("day", F.timestamp_seconds(middle)).alias("cut")).first().cut
+    cut = F.lit(cut) + F.expr(f"INTERVAL {after}")
     return events, instant() < cut, instant() >= cut
 
 

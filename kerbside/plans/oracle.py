@@ -288,6 +288,7 @@ def sql():
             select=f"SELECT {KPI_COLUMNS} FROM kpi WHERE window_end <= {IDLE_WATERMARK}",
         ),
         "kpi_stream_late": _with(FEEDS, IN_TIME, _kpi("1 hour", "in_time"), select=closed),
+        "kpi_stream_carried": _with(*hourly, select=closed),
         "alert_summary": _with(
             *hourly,
             select="SELECT district, alert_level, count(*) AS windows FROM kpi GROUP BY ALL",

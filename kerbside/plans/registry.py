@@ -19,6 +19,7 @@ QUERIES = {
     "kpi_stream_two_watermarks": streams.kpi_stream_two_watermarks,
     "kpi_stream_idle": streams.kpi_stream_idle,
     "kpi_stream_late": streams.kpi_stream_late,
+    "kpi_stream_carried": streams.kpi_stream_carried,
     "alert_summary": batch.alert_summary,
     "training_pairs": batch.training_pairs,
     "model_coefficients": models.model_coefficients,

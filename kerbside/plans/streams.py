@@ -7,9 +7,10 @@ from kerbside.operators import history, layers, packing
 from kerbside.operators.commits import Log, Store
 from kerbside.plans import feeds
 from kerbside.plans.batch import kpi_columns, ntz
-from kerbside.session import workspace
+from kerbside.session import shuffle_partitions, workspace
 from kerbside.sources.datasets import bronze_messages, read_bronze, read_silver
 from kerbside.sources.topics import read_message_files
+from kerbside.streaming.carry import carry, windows_from
 from kerbside.streaming.gold import start_windows, windows
 from kerbside.streaming.layers import start_bronze, start_rejects, start_silver
 from kerbside.streaming.triggers import ONCE, wait
@@ -234,6 +235,28 @@ def kpi_stream_late(spark, sf_dir):
     return kpi_columns(spark.read.schema(WINDOWS).parquet(f"{root}/rows"))
 
 
+def kpi_stream_carried(spark, sf_dir):
+    """Windows of a stream on 8 partitions, and of one on 32 that went on with its open windows in the middle of an hour."""
+    events, early, late = feeds.halves(spark, sf_dir, "30 minutes")
+    root = workspace(spark, "carried")
+
+    def sent(run, part):
+        for feed in FEEDS:
+            feeds.messages(events.where(part), feed).write.parquet(f"{root}/sent_{run}_{feed}")
+        return [read_message_files(spark, f"{root}/sent_{run}_{feed}") for feed in FEEDS]
+
+    def run(number, partitions, kpi):
+        with shuffle_partitions(spark, partitions):
+            start_windows(kpi, f"{root}/rows_{number}", f"{root}/progress_{number}", ONCE).awaitTermination()
+
+    run(1, 8, windows(*sent(1, early), width="1 hour"))
+    carry(spark, f"{root}/progress_1", f"{root}/open")
+    run(2, 32, windows_from(f"{root}/open", *sent(2, late), width="1 hour"))
+    # Each sink's own log tells which files count, so each is read by itself.
+    parts = [spark.read.schema(WINDOWS).parquet(f"{root}/rows_{number}") for number in (1, 2)]
+    return kpi_columns(parts[0].unionByName(parts[1]))
+
+
 def reject_stream(spark, sf_dir):
     """Rejects of a stream: here the event properties are sent where a sensor message belongs."""
     root = workspace(spark, "rejects")

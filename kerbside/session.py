@@ -8,6 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +52,18 @@ def use_state_settings(spark):
             spark.conf.set(key, value)
 
 
+@contextmanager
+def shuffle_partitions(spark, number):
+    """Start streams inside: a stream keeps the number of its first start."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, number)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _local_folder = None
 
 

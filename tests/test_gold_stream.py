@@ -9,6 +9,8 @@ from kerbside import schemas
 from kerbside.operators import corrections, scoring, serving
 from kerbside.operators.layers import to_silver
 from kerbside.sources.topics import read_message_files
+from kerbside.session import shuffle_partitions
+from kerbside.streaming.carry import CARRIED, carry, windows_from
 from kerbside.streaming.gold import start_gold, start_windows, store_sink, table_sink, windows
 from kerbside.streaming.triggers import ONCE
 from test_scoring import train
@@ -110,6 +112,43 @@ def test_windows_go_on_without_a_silent_feed(spark, folder):
     assert sum(c.messages for c in counts) == 3 and sum(c.untimed for c in counts) == 1
 
 
+def test_open_windows_carried_to_another_checkpoint(spark, folder):
+    old = Feeds(spark, folder)
+    first = [traffic("00:00:10"), traffic("00:02:10", speed=40), traffic("00:02:59", "Nord", speed=None), traffic("00:02:30", None)]
+    old.run(first, [pollution("00:02:20", pm25=10)])
+    assert set(old.served()) == {("Centre", "00:01")}
+    positions = carry(spark, f"{folder}/progress", f"{folder}/open")
+    assert len(positions) == 2
+
+    new = f"{folder}/new"
+    sent = {
+        "traffic": [traffic("00:00:50", speed=1), traffic("00:02:40", speed=60), traffic("00:03:30")],
+        "pollution": [pollution("00:02:41", pm25=90)],
+    }
+
+    def run(number, rows_by_feed):
+        for feed, rows in rows_by_feed.items():
+            send(spark, rows, f"{new}/{feed}")
+        rows = windows_from(f"{folder}/open", *[read_message_files(spark, f"{new}/{feed}") for feed in sent])
+        with shuffle_partitions(spark, 3):
+            start_gold(rows, old.sink, f"{new}/progress", None, ONCE).awaitTermination()
+        return old.served()
+
+    rows = run(1, sent)
+    # The late event for a window that is out is dropped, as the old stream would have.
+    assert rows["Centre", "00:01"].avg_speed == 50.0
+    assert set(rows) == {("Centre", "00:01")}
+    rows = run(2, {"traffic": [traffic("00:09:00")], "pollution": []})
+    assert set(rows) == {("Centre", "00:01"), ("Centre", "00:03"), ("Nord", "00:03"), ("Centre", "00:04")}
+    assert (rows["Centre", "00:03"].avg_speed, rows["Centre", "00:03"].avg_pm25) == (50.0, 50.0)
+    assert rows["Nord", "00:03"].avg_speed is None and rows["Nord", "00:03"].max_density == 10
+
+    # Once more, from a checkpoint of this kind.
+    carry(spark, f"{new}/progress", f"{folder}/again")
+    left = spark.read.schema(CARRIED).parquet(f"{folder}/again").collect()
+    assert [(row.district, row.speed_sum, row.speed_count) for row in left if row.own_time] == [("Centre", 50, 1)]
+
+
 def test_bad_messages_are_counted_and_do_not_stop_the_stream(spark, folder):
     feeds = Feeds(spark, folder, metrics="gold")
     bad = ["not json", None, {**traffic(), "timestamp": "bad"}, traffic(time=None)]

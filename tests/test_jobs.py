@@ -63,6 +63,20 @@ def test_gold(spark, city):
     assert rows.where("predicted_pm25 IS NULL").count() == 0
 
 
+def test_gold_from_carried_windows(spark, city, capsys):
+    jobs.main(f"carry --checkpoint {city}/ck/gold --output {city}/open".split(), spark)
+    assert capsys.readouterr().out.count("logOffset") == 2
+    source = f"--source parquet --traffic {city}/traffic-new --pollution {city}/pollution-new --once"
+    send(spark, [traffic("03:30:00")], f"{city}/traffic-new")
+    send(spark, [pollution("02:55:30", "Nord", 10)], f"{city}/pollution-new")
+    line = f"gold {source} --serving {city}/serving-new --checkpoint {city}/ck/new --carried {city}/open --width 10_minutes"
+    jobs.main([arg.replace("_", " ") for arg in line.split()], spark)
+    rows = {(row.district, f"{row.window_end:%H:%M}"): row for row in serving.current(spark, f"{city}/serving-new").collect()}
+    # Both open ten minutes, with what has come since for one of them.
+    assert {key: row.max_density for key, row in rows.items()} == {("Centre", "03:00"): 175 % 45, ("Nord", "03:00"): 175 % 45}
+    assert rows["Nord", "03:00"].avg_pm25 < rows["Centre", "03:00"].avg_pm25
+
+
 def test_series(spark, city, capsys):
     argv = ["series", "--serving", f"{city}/serving", "--district", "Centre", "--rows", "3"]
     rows = jobs.main(argv, spark)
