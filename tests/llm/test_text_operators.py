@@ -1,9 +1,13 @@
 """Operators on whole texts against brute force, with all edge rows of ``corpus``."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+from wording import prose
+
 from kerbside.llm import decontaminate, jaccard, quality, suffixes
 from pyspark.sql import functions as F
 
@@ -118,6 +122,37 @@ def test_quality_counts(docs, corpus, spark):
     assert unlabelled.where("kept = base_failed").count() == 0
 
 
+def test_quality_threshold():
+    rng = np.random.default_rng(3)
+    for n, m in ((1, 1), (5, 3), (40, 40), (200, 30)):
+        good, bad = rng.normal(1, 1, n).round(1), rng.normal(-1, 1, m).round(1)
+
+        def price(cut, good=good, bad=bad):
+            return round(float((bad >= cut).mean() + quality.COST * (good < cut).mean()), 9)
+
+        scores = sorted({*good, *bad})
+        cuts = [float("-inf")] + [(x + y) / 2 for x, y in zip(scores, scores[1:])]
+        assert price(quality.threshold(good, bad)) == min(map(price, cuts))
+    assert quality.threshold(np.array([3.0, 5.0]), np.array([1.0])) == 2.0
+    assert quality.threshold(np.zeros(0), np.array([1.0])) == float("-inf")
+    assert quality.threshold(np.array([1.0, 1.0]), np.zeros(0)) == 1.0
+
+
+def test_quality_learns_its_threshold_from_both_classes(spark):
+    """Junk of words and symbols that differ from text to text, few labels: rejected, and no clean text is."""
+    rng = random.Random(9)
+    words = [prose(rng, 1) + str(i) for i in range(300)]
+    good = [(i, " ".join(rng.choices(words, k=rng.randint(25, 200)))) for i in range(300)]
+    junk = [(1000 + i, " ".join(w[:2] + rng.choice(["***", "##", "$"]) + str(rng.randrange(999)) for w in rng.choices(words, k=60))) for i in range(60)]
+    docs = spark.createDataFrame(good + junk, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good[:60]] + [(i, 0) for i, _ in junk[:12]], "doc_id long, quality int")
+    rows = {r.doc_id: r.kept for r in quality.judge(docs, labels).collect()}
+    assert not any(rows[i] for i, _ in junk)
+    assert sum(rows[i] for i, _ in good) >= 297
+    # Only rejected ones labelled: nothing to compare with, so the base rules decide.
+    assert all(r.kept for r in quality.judge(docs, labels.where("quality = 0")).collect())
+
+
 def test_quality_rejects_junk(spark):
     good = [(i, " ".join(f"word{(i * 7 + j * j) % 90}" for j in range(60))) for i in range(100)]
     junk = [(1000 + i, " ".join(f"zx{(i * 31 + j) % 997}### $$q{j * i % 991}" for j in range(60))) for i in range(20)]
