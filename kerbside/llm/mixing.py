@@ -109,11 +109,11 @@ def plan(sized: DataFrame, weights=None, share: float = 1.0, copies: int = COPIE
     return sizes, wanted, min_cost_flow(capacity, {s: round(w) for s, w in wanted.items()}, copies)
 
 
-def select(sized: DataFrame, flow: dict, capacity: dict) -> DataFrame:
-    """``sized(pattern_key, size, h)`` with ``copies``: whole copies of documents whose words sum up to nearly the flow.
+def cut_points(sized: DataFrame, flow: dict, capacity: dict) -> DataFrame:
+    """What ``with_copies`` needs of each pattern to take whole copies of documents whose words sum up to nearly the flow.
 
-    All documents of a pattern are taken as often as the flow holds the pattern's words; those first in the seeded order
-    ``h`` once more, until the rest is filled. The end of these is found by histograms of ``h``, each of which resolves
+    One row for each pattern of ``sized(pattern_key, size, h)``. All documents of a pattern are taken as often as the flow
+    holds the pattern's words; those first in the seeded order ``h`` once more, until the rest is filled. The end of these is found by histograms of ``h``, each of which resolves
     12 bits, and by the order of the few rows that are left in one cell, so that no pattern is ever ordered in one task.
     One further document, that whose size is nearest to the words still missing, closes the gap.
     """
@@ -123,9 +123,8 @@ def select(sized: DataFrame, flow: dict, capacity: dict) -> DataFrame:
         whole, rest = divmod(words, capacity[key]) if capacity[key] else (0, 0)
         rows.append((key, whole, rest))
     decided = F.broadcast(spark.createDataFrame(rows, "pattern_key string, whole long, rest long"))  # at most MOST_PATTERNS rows
-    known = sized.join(decided, "pattern_key")
+    part = sized.join(decided, "pattern_key")
     cut = spark.createDataFrame([(k, 0, 0) for k, _, _ in rows], "pattern_key string, base long, before long")
-    part = known
     for level in (1, 2):
         slot = F.shiftrightunsigned("h", 64 - level * LEVEL)
         cells = part.groupBy("pattern_key", slot.alias("slot")).agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
@@ -144,19 +143,30 @@ def select(sized: DataFrame, flow: dict, capacity: dict) -> DataFrame:
         F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))).alias("filled"), F.max("before").alias("before"),
     )
     ends = materialize(ends.select("pattern_key", "cell", F.coalesce("last", F.lit(-1)).alias("last"), F.coalesce("filled", "before").alias("filled")), "ends")
-    cell = F.shiftrightunsigned("h", 64 - 2 * LEVEL)
-    chosen = F.coalesce((cell < F.col("cell")) | ((cell == F.col("cell")) & (low <= F.col("last"))), F.lit(True))
-    marked = known.join(F.broadcast(ends), "pattern_key", "left").withColumn("chosen", chosen & (F.col("rest") > 0))
-    left = marked.where("NOT chosen AND rest > 0").groupBy("pattern_key", "h").agg(F.sum("size").alias("words"), F.first(F.col("rest") - F.col("filled")).alias("gap"))
+    points = decided.join(ends, "pattern_key", "left")
+    marked = sized.join(F.broadcast(points), "pattern_key")
+    left = marked.where(~_chosen() & (F.col("rest") > 0)).groupBy("pattern_key", "h").agg(F.sum("size").alias("words"), F.first(F.col("rest") - F.col("filled")).alias("gap"))
     left = left.where("words < 2 * gap").groupBy("pattern_key").agg(F.min_by("h", F.struct(F.abs(F.col("words") - F.col("gap")), "h")).alias("closing"))
-    marked = marked.join(F.broadcast(materialize(left, "closing")), "pattern_key", "left")
-    more = F.col("chosen") | F.coalesce(F.col("h") == F.col("closing"), F.lit(False))
-    return marked.withColumn("copies", F.col("whole") + more.cast("long")).drop("whole", "rest", "cell", "last", "filled", "chosen", "closing")
+    return materialize(points.join(left, "pattern_key", "left"), "points")
+
+
+def _chosen():
+    """Whether a row is taken once more, in the seeded order; a pattern without an end is taken whole."""
+    cell = F.shiftrightunsigned("h", 64 - 2 * LEVEL)
+    low = F.col("h").bitwiseAND((1 << (64 - 2 * LEVEL)) - 1)
+    return F.coalesce((cell < F.col("cell")) | ((cell == F.col("cell")) & (low <= F.col("last"))), F.lit(True)) & (F.col("rest") > 0)
+
 
+def with_copies(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """``rows(pattern_key, h)`` with ``copies``, decided where the rows are: at most MOST_PATTERNS cut points are broadcast."""
+    more = _chosen() | F.coalesce(F.col("h") == F.col("closing"), F.lit(False))
+    marked = rows.join(F.broadcast(points), "pattern_key")
+    return marked.withColumn("copies", F.col("whole") + more.cast("long")).drop(*(c for c in points.columns if c != "pattern_key"))
 
-def sized_rows(docs: DataFrame, membership, seed: int) -> DataFrame:
+
+def sized_rows(docs: DataFrame, membership, seed: int, *carried: str) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select("doc_id", membership.alias("pattern"), size.alias("size"))
+    rows = docs.select("doc_id", membership.alias("pattern"), size.alias("size"), *carried)
     return rows.select("*", F.to_json(F.struct("pattern"), {"ignoreNullFields": "false"}).alias("pattern_key"), F.xxhash64(F.lit(seed), "doc_id", "size", "pattern").alias("h"))
 
 
@@ -165,8 +175,8 @@ def _mixed(docs: DataFrame, membership, weights, share, copies, seed):
     sizes, wanted, flow = plan(sized, weights, share, copies)
     rows = sized.groupBy("pattern_key", "pattern").agg(F.sum("size").alias("size")).collect()  # at most MOST_PATTERNS
     keys = {r.pattern_key: tuple(r.pattern) for r in rows}
-    chosen = select(sized, {k: flow[p] for k, p in keys.items()}, {r.pattern_key: r["size"] for r in rows})
-    return chosen, sizes, wanted
+    points = cut_points(sized, {k: flow[p] for k, p in keys.items()}, {r.pattern_key: r["size"] for r in rows})
+    return sized, points, sizes, wanted
 
 
 def mix(docs: DataFrame, weights: dict | None = None, share: float = 1.0, copies: int = COPIES, seed: int = 17) -> DataFrame:
@@ -177,22 +187,17 @@ def mix(docs: DataFrame, weights: dict | None = None, share: float = 1.0, copies
     no ties that matter, and reruns agree. Other columns are not looked at; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
-    chosen, sizes, wanted = _mixed(docs, F.array("source"), weights, share, copies, seed)
+    sized, points, sizes, wanted = _mixed(docs, F.array("source"), weights, share, copies, seed)
     told = docs.sparkSession.createDataFrame([(s, sizes[s], wanted[s]) for s in sizes], "source string, source_size long, target double")
-    rows = chosen.withColumn("of", F.col("pattern")[0]).join(F.broadcast(told), F.col("of").eqNullSafe(F.col("source")))
+    rows = with_copies(sized, points).withColumn("of", F.col("pattern")[0]).join(F.broadcast(told), F.col("of").eqNullSafe(F.col("source")))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 def mixed_documents(docs: DataFrame, weights: dict | None = None, share: float = 1.0, copies: int = COPIES, seed: int = 17) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix takes it; columns are those of ``docs``."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
-    chosen, _, _ = _mixed(plain, F.array("source"), weights, share, copies, seed)
-    times = materialize(chosen.where("copies > 0").select(F.col("h").alias("h"), "pattern_key", "copies").distinct(), "times")
-    times = times.select(F.col("h").alias("of_h"), F.col("pattern_key").alias("of_key"), "copies")
-    names = docs.columns
     rows = docs.select(F.struct("*").alias("row"))
-    as_text = rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").cast("string").alias("text"), F.col("row.source").cast("string").alias("source"))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    keyed = as_text.select("row", F.xxhash64(F.lit(seed), "doc_id", size, F.array("source")).alias("h"), F.to_json(F.struct(F.array("source").alias("pattern")), {"ignoreNullFields": "false"}).alias("key"))
-    joined = keyed.join(times, (F.col("h") == F.col("of_h")) & (F.col("key") == F.col("of_key")))
-    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*(F.col("row")[c].alias(c) for c in names))
+    plain = rows.select(*(F.col(f"row.{c}").cast(kind).alias(c) for c, kind in (("doc_id", "long"), ("text", "string"), ("source", "string"))), "row")
+    _, points, _, _ = _mixed(plain.drop("row"), F.array("source"), weights, share, copies, seed)
+    taken = with_copies(sized_rows(plain, F.array("source"), seed, "row"), points).where("copies > 0")
+    each = taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return each.select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -92,6 +92,9 @@ def test_mixed_documents(docs, corpus, nothing):
     assert mixed.columns == docs.columns
     assert Counter(r.doc_id for r in mixed.collect()) == +copies
     assert mixing.mixed_documents(nothing).count() == 0
+    # Texts stay where they are read: what is looked up are broadcast cut points.
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
 
 def test_lookup_table():
