@@ -1,5 +1,10 @@
 """Registered queries that run a stream over the tables to its end and read what it wrote."""
 
+import hashlib
+from itertools import groupby
+from operator import itemgetter
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kerbside import schemas
@@ -62,10 +67,32 @@ def run_silver(spark, sf_dir, wanted=FEEDS):
     return paths
 
 
-def _digest(line, at):
-    """48 bits of each line's hash, added up: any order, and in part before the exchange."""
-    bits = F.conv(F.substring(F.md5(line), at, 12), 16, 10).cast("decimal(15,0)")
-    return F.sum(bits).cast("string")
+def _line_digests(rows):
+    """``sensor_id`` and the md5 of each sensor's lines in order, joined by line feeds.
+
+    Spark sorts the lines, on disk where they are many; a batch of them is held at a time.
+    """
+
+    def digests(batches):  # sent by value, as it is no name of a module
+        sensor, digest = None, None
+
+        def found():
+            return pa.RecordBatch.from_pydict({"sensor_id": pa.array([sensor], pa.string()), "payloads": [digest.hexdigest()]})
+
+        for batch in batches:
+            for key, run in groupby(zip(*(c.to_pylist() for c in batch.columns), strict=True), itemgetter(0)):
+                text = "\n".join(line for _, line in run).encode()
+                if digest and key == sensor:
+                    digest.update(b"\n" + text)
+                    continue
+                if digest:
+                    yield found()
+                sensor, digest = key, hashlib.md5(text)
+        if digest:
+            yield found()
+
+    placed = rows.select("sensor_id", "line").repartition("sensor_id").sortWithinPartitions("sensor_id", "line")
+    return placed.mapInArrow(digests, "sensor_id string, payloads string")
 
 
 def bronze_ingest(spark, sf_dir):
@@ -73,7 +100,7 @@ def bronze_ingest(spark, sf_dir):
     paths = run_bronze(spark, sf_dir)
 
     def side(feed):
-        return (
+        rows = (
             read_bronze(spark, paths[feed])
             .select(
                 F.lit(feed).alias("feed"),
@@ -81,15 +108,15 @@ def bronze_ingest(spark, sf_dir):
                 (F.to_date("ingestion_time") == F.to_date("ingestion_date")).alias("dated"),
             )
             .withColumn("line", F.concat_ws("|", *FIELDS[feed]))
-            .groupBy("feed", "sensor_id")
-            .agg(
-                F.count(F.lit(1)).alias("messages"),
-                F.count_if("dated").alias("dated"),
-                F.min("timestamp").alias("first_timestamp"),
-                F.max("timestamp").alias("last_timestamp"),
-                F.concat_ws("-", _digest("line", 1), _digest("line", 13)).alias("payloads"),
-            )
         )
+        counts = rows.groupBy("feed", "sensor_id").agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.count_if("dated").alias("dated"),
+            F.min("timestamp").alias("first_timestamp"),
+            F.max("timestamp").alias("last_timestamp"),
+        )
+        digests = _line_digests(rows).withColumnRenamed("sensor_id", "_sensor")
+        return counts.join(digests, F.col("sensor_id").eqNullSafe(F.col("_sensor"))).drop("_sensor")
 
     return side("traffic").unionByName(side("pollution"))
 
