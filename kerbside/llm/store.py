@@ -16,10 +16,10 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df``, written once; later reads take it from the shared folder, also when an executor is lost."""
     path = table_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
