@@ -59,7 +59,9 @@ PATTERNS = {
     "iban": r"(?=[A-Z]{2}\d{2})(?<![\p{L}\p{N}])(?:" + COUNTRIES + r"|[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: ?[A-Z0-9]{4}){3,7}(?: \d{1,3})?)(?![\p{L}\p{N}]))",
     "name": r"(?=\p{Lu})(?<![\p{L}\p{N}])(?:" + "|".join(n for names in NAMES.values() for n in names.split()) + r")(?:[ ]\p{Lu}\p{Ll}+)?(?!\p{L})|" + TOLD,
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# No pattern begins with a letter inside a word, so such places are passed at once.
+ANY = r"(?>(?<![\p{L}\p{N}])|(?!\p{L}))(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+MARK = "\uFDD0"  # no character of Unicode; set around the entities
 KEY = "public example key"
 FURTHER = 1_000_000  # attempts from which on a surrogate name is made up, not listed
 
@@ -168,6 +170,14 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         todo = derive(lost.withColumn("attempt", later.cast("long")))
 
 
+def _cut(text: Column) -> Column:
+    """Pieces of a text: beside the entities at even places, the entities at odd ones. One scan of a text without ``MARK``."""
+    marked = F.split(F.regexp_replace(text, f"({ANY})", f"{MARK}$0{MARK}"), MARK, -1)
+    entities = F.concat(F.regexp_extract_all(text, F.lit(f"({ANY})"), 0), F.array(F.lit("")))
+    pairs = F.flatten(F.zip_with(F.split(text, f"(?:{ANY})", -1), entities, lambda a, b: F.array(a, b)))
+    return F.when(F.instr(text, MARK) == 0, marked).otherwise(F.slice(pairs, F.lit(1), F.size(pairs) - 1))
+
+
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``doc_id``, ``n_entities`` and ``text`` with surrogates of every row of ``docs(doc_id, text)``.
 
@@ -177,10 +187,11 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     letters of its script. Repeated rows are treated alike; other columns are not looked at; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = docs.withColumn("entities", F.regexp_extract_all("text", F.lit(f"({ANY})"), 0))
-    without = found.where("text IS NULL OR size(entities) = 0").select("doc_id", F.lit(0).cast("long").alias("n_entities"), "text")
-    rows = found.where("size(entities) > 0").select("doc_id", "entities", F.split("text", f"(?:{ANY})", -1).alias("pieces"), F.struct(F.xxhash64("doc_id", "text").alias("one"), F.xxhash64(F.lit(1), "doc_id", "text").alias("two")).alias("row"))  # 128 bits
-    rows = materialize(rows, "cut")
+    row = F.struct(F.xxhash64("doc_id", "text").alias("one"), F.xxhash64(F.lit(1), "doc_id", "text").alias("two"))  # 128 bits
+    found = materialize(docs.select("doc_id", _cut(F.col("text")).alias("cut"), row.alias("row")), "cut")
+    without = found.where("cut IS NULL OR size(cut) = 1").select("doc_id", F.lit(0).cast("long").alias("n_entities"), F.col("cut")[0].alias("text"))
+    pieces, entities = F.filter("cut", lambda _, i: i % 2 == 0), F.filter("cut", lambda _, i: i % 2 == 1)
+    rows = found.where("size(cut) > 1").select("doc_id", "row", pieces.alias("pieces"), entities.alias("entities"))
     each = rows.select("row", F.posexplode("entities").alias("at", "entity")).distinct()
     each = each.withColumn("kind", _kind(F.col("entity"))).withColumn("canon", _canonical(F.col("kind"), F.col("entity")))
     each = materialize(each, "entities")
