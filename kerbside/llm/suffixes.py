@@ -48,7 +48,7 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int, key: int):
     if len(buf) < length:
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64), prefix
     at = np.arange(len(buf) - key + 1)
-    rank = T.span_hash(prefix, at, at + key)
+    rank = T.window_hash(prefix, key)
     least = (rank >> T.u64(28) << T.u64(28)) | at.astype(np.uint64)  # of equal ranks the leftmost
     wide, size = length - key + 1, 1
     while 2 * size <= wide:
@@ -89,20 +89,19 @@ class Chunk:
         self.buckets, self.begin = np.unique(b[new], return_index=True)
         self.end = np.append(self.begin[1:], new.sum())
 
-    def name(self) -> int:
-        """The same for the same texts and ids; chunks of equal content may share it, as they share all answers."""
-        h = T.mix(T.span_hash(self.prefix, self.offsets[:-1], self.offsets[1:]) + T.mix(self.ids.view(np.uint64)))
-        total = T.mix(np.array([len(h)], np.uint64))
-        for x in (h, T.mix(h ^ np.arange(len(h), dtype=np.uint64))):
-            total = T.mix(total + np.add.reduce(x))
-        return int(total.view(np.int64)[0])
 
+def _name(prefix: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> int:
+    """The same for the same texts and ids; chunks of equal content may share it, as they share all answers."""
+    h = T.mix(T.span_hash(prefix, offsets[:-1], offsets[1:]) + T.mix(ids.view(np.uint64)))
+    total = T.mix(np.array([len(h)], np.uint64))
+    for x in (h, T.mix(h ^ np.arange(len(h), dtype=np.uint64))):
+        total = T.mix(total + np.add.reduce(x))
+    return int(total.view(np.int64)[0])
 
-def _chunks(batches, buckets, length, key):
+
+def _pieces(batches):
     for piece in T.pieces(batches):
-        buf, offsets = T.flat(piece.column("text"))
-        ids = piece.column("doc_id").fill_null(NAMELESS).to_numpy(zero_copy_only=False).astype(np.int64)
-        yield piece, Chunk(buf, offsets, ids, buckets, length, key)
+        yield piece, *T.flat(piece.column("text")), piece.column("doc_id").fill_null(NAMELESS).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 # --- packing -------------------------------------------------------------------------------------------------------
@@ -166,8 +165,9 @@ def _grouped(batches, column):
 
 def _first_ranks(buckets, length, key):
     def run(batches):
-        for _, c in _chunks(batches, buckets, length, key):
-            name = c.name()
+        for _, buf, offsets, ids in _pieces(batches):
+            c = Chunk(buf, offsets, ids, buckets, length, key)
+            name = _name(c.prefix, offsets, ids)
             rows = [
                 (int(b), name, 0, _pack(_pack48(c.rank[i:j]), _pack48(c.around[i:j]), *_pack_ids(c.least[i:j])))
                 for b, i, j in zip(c.buckets, c.begin, c.end, strict=True)
@@ -209,16 +209,13 @@ def _settle(batches):
             yield _rows([(bucket, row["chunk"], 0, _pack(np.packbits(copied[low:high]), np.packbits(unsettled[low:high])))])
 
 
-def _texts(buckets, length, key):
-    """The chunks' own rows, which the answers meet."""
-
-    def run(batches):
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for piece, c in _chunks(batches, buckets, length, key):
-            null = piece.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            yield _rows([(0, c.name(), 2, _pack(np.frombuffer(squeeze.compress(c.buf.tobytes()), np.uint8), np.diff(c.offsets), c.ids, null))])
-
-    return run
+def _texts(batches):
+    """The chunks' own rows, which the answers meet. Ranks are not needed for these."""
+    squeeze = zstandard.ZstdCompressor(level=1)
+    for piece, buf, offsets, ids in _pieces(batches):
+        null = piece.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+        name = _name(T.prefix_hash(buf), offsets, ids)
+        yield _rows([(0, name, 2, _pack(np.frombuffer(squeeze.compress(buf.tobytes()), np.uint8), np.diff(offsets), ids, null))])
 
 
 def _answered(batches, buckets, length, key):
@@ -340,7 +337,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: int = KEY, bucket
     setting = (buckets, length, key)
     ranks = _together(docs.mapInArrow(_first_ranks(*setting), PACKED), buckets, "bucket")
     settled = materialize(ranks.mapInArrow(_settle, PACKED), "settled")
-    texts = docs.mapInArrow(_texts(*setting), PACKED)
+    texts = docs.mapInArrow(_texts, PACKED)
     strings = _together(settled.union(texts), buckets, "chunk", "kind").mapInArrow(_string_ranks(*setting), PACKED)
     answers = materialize(_together(strings, buckets, "bucket").mapInArrow(_settle_strings(length), PACKED), "strings")
     whole = _together(settled.union(answers).union(texts), buckets, "chunk", "kind")

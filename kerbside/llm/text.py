@@ -103,6 +103,13 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start] + mix((end - start).astype(np.uint64)))
 
 
+def window_hash(prefix: np.ndarray, size: int) -> np.ndarray:
+    """``span_hash`` of every span of ``size`` bytes, by position."""
+    n = len(prefix) - size
+    _, down = powers(len(prefix))
+    return mix((prefix[size:] - prefix[:n]) * down[:n] + mix(np.array([size], np.uint64)))
+
+
 def chain(h: np.ndarray, following: np.ndarray) -> np.ndarray:
     """Hash of a sequence with one more element."""
     return mix(h * u64(0xD6E8FEB86659FD93) + following)
