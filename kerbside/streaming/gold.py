@@ -7,6 +7,7 @@ The number of shuffle partitions is fixed by the checkpoint at the first start,
 from threading import Event
 
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from kerbside.operators.kpis import kpis, unify_messages
 from kerbside.operators.scoring import LatestModel, score, with_alert_predicted
@@ -52,11 +53,16 @@ def start_gold(kpi, sink, checkpoint, model_path=None, every="30 seconds", name=
     started, stream_id = Event(), []
 
     def handle(batch, batch_id):
-        if batch.isEmpty():
-            return
-        started.wait()
-        scored = with_alert_predicted(score(batch, model.get() if model else None))
-        sink(scored, batch_id, stream_id[0])
+        # Kept, or each look at the batch would read the feeds and fold them into windows once more.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():
+                return
+            started.wait()
+            scored = with_alert_predicted(score(batch, model.get() if model else None))
+            sink(scored, batch_id, stream_id[0])
+        finally:
+            batch.unpersist()
 
     writer = (
         kpi.writeStream.outputMode("append")
