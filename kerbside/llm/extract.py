@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ RUN = 6  # tokens in a repeated run, at least
 COVERED = 80  # per cent of a block's tokens in repeated runs from which on it is boilerplate
 ONE_IN = 3  # of a host's distinct articles that have a run if it is boilerplate inside articles
 LEAST = 3  # such articles, at least
+SLICE = 4 << 20  # runs sent to all executors at once
+SLICES = 8  # times that the texts are read for this, at most
 
 # Elements without text of a page's own, elements that part blocks, and elements without an end tag, by the HTML standard.
 RAW = "script style noscript template textarea title iframe svg canvas object select annotation annotation-xml audio video".split()
@@ -296,6 +299,16 @@ def _unrepeated(batches):
         yield pa.RecordBatch.from_arrays([piece.column("page_id"), piece.column("url"), texts], ["page_id", "url", "text"])
 
 
+def _with_often(articles: DataFrame, often: DataFrame, how: str) -> DataFrame:
+    """Articles with the runs of their host. The runs go to the texts in slices, as a shuffle of the texts takes their size
+    on disk; too many runs for that are left to a plain join."""
+    slices = (often.agg(F.sum(F.size("often"))).first()[0] or 0) // SLICE + 1
+    if slices > SLICES:
+        return articles.join(often, "host", how)
+    of = F.pmod(F.hash("host"), F.lit(slices))
+    return reduce(DataFrame.union, (articles.where(of == i).join(F.broadcast(often.where(of == i)), "host", how) for i in range(slices)))
+
+
 def _boilerplate(articles: DataFrame) -> DataFrame:
     """``often``, the runs that are boilerplate inside articles, of each host with such runs."""
     least = F.greatest(F.lit(LEAST), F.ceil(F.countDistinct("article") / ONE_IN)).alias("least")
@@ -306,7 +319,7 @@ def _boilerplate(articles: DataFrame) -> DataFrame:
     # A candidate's articles are counted over the whole host, then those of them that are no copies.
     for copies in (True, False):
         often = materialize(runs.groupBy("host").agg(F.collect_list("run").alias("often")), "often")
-        seen = articles.join(often, "host").mapInArrow(lambda batches, copies=copies: _seen(batches, copies), "host string, article long, page long, run long")
+        seen = _with_often(articles, often, "inner").mapInArrow(lambda batches, copies=copies: _seen(batches, copies), "host string, article long, page long, run long")
         counted = seen.groupBy("host", "run").agg(F.countDistinct("article").alias("articles"), F.countDistinct("page").alias("pages"))
         runs = counted.join(hosts, "host").where("articles >= least AND pages >= least").select("host", "run")
     return materialize(runs.groupBy("host").agg(F.collect_list("run").alias("often")), "boilerplate")
@@ -335,7 +348,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     chosen = unmarked.join(covered, F.col("row") == F.col("of"), "left").select("page_id", "url", "text", "starts")
 
     articles = parsed.where("NOT open").select("page_id", "url", "host", "article", "page", "text")
-    marked = articles.join(_boilerplate(articles.where("text <> ''")), "host", "left").select("page_id", "url", "text", "often")
+    marked = _with_often(articles, _boilerplate(articles.where("text <> ''")), "left").select("page_id", "url", "text", "often")
     found = "page_id long, url string, text string"
     texts = marked.mapInArrow(_unrepeated, found).union(chosen.mapInArrow(_chosen, found))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -85,7 +85,10 @@ def test_boilerplate_in_marked_articles_goes(spark):
     assert all(SHARE in t for i in (40, 41, 50) for t in got[i]) and len(got[50]) == 4
 
 
-def test_against_the_plain_version(spark):
+@pytest.mark.parametrize("slices", [8, 0])
+def test_against_the_plain_version(spark, monkeypatch, slices):
+    monkeypatch.setattr(extract, "SLICE", 200)
+    monkeypatch.setattr(extract, "SLICES", slices * 10)
     rng = random.Random(8)
     notes = [words(rng, n) for n in (3, 6, 7, 9, 14, 25)]
     pages = []
